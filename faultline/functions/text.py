@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Whitespace as ``str.strip`` sees it; Spark's ``trim`` removes spaces only.
-_WS = r"[\s\x1c-\x1f\x{85}\p{Z}]"
+_WS_CLASS = r"\s\x1c-\x1f\x{85}\p{Z}"
+_WS = f"[{_WS_CLASS}]"
 
 
 def rx(pattern: str, ignore_case: bool = False) -> str:
@@ -37,7 +38,7 @@ def strip_ws(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """NULL, empty or whitespace only."""
-    return F.coalesce(strip_ws(c), F.lit("")) == ""
+    return ~F.coalesce(c.rlike(f"[^{_WS_CLASS}]"), F.lit(False))
 
 
 def text_or_empty(c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
-from .text import first_match, lookup, strip_ws, text_or_empty
+from .text import first_match, lookup, strip_ws
 
 # Largest day serial of the spreadsheet calendar (9999-12-31).
 _MAX_SERIAL = 2958465
@@ -89,18 +89,34 @@ def _iso_seconds(ts: Column) -> Column:
     return F.translate(F.substring(ts.cast("string"), 1, 19), " ", "T")
 
 
-def fired_time(c: Column) -> dict[str, Column]:
+def raw_times(c: Column, profile: str) -> dict[str, Column]:
+    """Raw texts the time extractors read: ``_iso``, ``_named`` and, for v3, ``_fired``.
+
+    Meant as a stage of its own, so each pattern is searched once per row.
+    """
+    iso, named = (
+        (P.ISO_TIME_V2, P.DAY_NAME_TIME_V2) if profile == "v2" else (P.ISO_TIME_V3, P.DAY_NAME_TIME_V3)
+    )
+    raw = {"_iso": first_match(c, iso, 0), "_named": first_match(c, named, 0)}
+    if profile == "v3":
+        raw["_fired"] = first_match(c, P.FIRED_TIME, 1, ignore_case=True)
+    return raw
+
+
+def _parsed_iso(iso: Column) -> Column:
+    return F.replace(iso, F.lit("Z"), F.lit("")).try_cast("timestamp_ntz")
+
+
+def fired_time(iso: Column, named: Column) -> dict[str, Column]:
     """``fired_time`` and the raw ``fired_time_source``.
 
     An ISO time that parses is returned as written with no source. Otherwise the
     day-name form gives its ISO rendering (NULL when out of range) and its text.
     """
-    iso = first_match(c, P.ISO_TIME_V2, 0)
-    iso_ok = F.when(F.replace(iso, F.lit("Z"), F.lit("")).try_cast("timestamp_ntz").isNotNull(), iso)
-    raw = first_match(c, P.DAY_NAME_TIME_V2, 0)
+    usable = _parsed_iso(iso).isNotNull()
     return {
-        "fired_time": F.coalesce(iso_ok, _iso_seconds(_day_name_time(raw))),
-        "fired_time_source": F.when(iso_ok.isNull(), raw),
+        "fired_time": F.when(usable, iso).otherwise(_iso_seconds(_day_name_time(named))),
+        "fired_time_source": F.when(~usable, named),
     }
 
 
@@ -114,12 +130,8 @@ def _iso_utc(ts: Column) -> Column:
     )
 
 
-def extracted_timestamp(c: Column, profile: str) -> Column:
-    """``Fired Date Time`` as written (v3 only), else ISO as UTC, else day-name form; ``''`` if none."""
-    t = text_or_empty(c)
-    iso = F.replace(first_match(t, P.ISO_TIME_V3, 0), F.lit("Z"), F.lit("")).try_cast("timestamp_ntz")
-    named = F.concat(_iso_seconds(_day_name_time(first_match(t, P.DAY_NAME_TIME_V3, 0))), F.lit("Z"))
-    forms = [_iso_utc(iso), named, F.lit("")]
-    if profile == "v3":
-        forms.insert(0, first_match(t, P.FIRED_TIME, 1, ignore_case=True))
-    return F.coalesce(*forms)
+def extracted_timestamp(iso: Column, named: Column, fired: Column | None = None) -> Column:
+    """``Fired Date Time`` as written when given, else ISO as UTC, else day-name form; ``''`` if none."""
+    zoned = F.concat(_iso_seconds(_day_name_time(named)), F.lit("Z"))
+    forms = [_iso_utc(_parsed_iso(iso)), zoned, F.lit("")]
+    return F.coalesce(*([fired] if fired is not None else []), *forms)

@@ -11,6 +11,12 @@ from ..functions import patterns as P
 from ..functions.text import strip_ws
 
 
+def constant_table(df: DataFrame, name: str, values: Sequence[str]) -> DataFrame:
+    """``position, <name>`` rows of a fixed list, known to the optimizer as a local relation."""
+    rows = ", ".join(f"({i}, '{v}')" for i, v in enumerate(values))
+    return df.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(position, {name})")
+
+
 def unknown(name: str) -> Column:
     """Column with NULL shown as ``UNKNOWN``."""
     return F.coalesce(F.col(name), F.lit(P.UNKNOWN)).alias(name)

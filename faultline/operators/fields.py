@@ -29,15 +29,19 @@ HELPER_TYPES = {
 }
 
 
-def _with_lists(df: DataFrame, text: Column, profile: str) -> DataFrame:
-    """Add the match arrays once, so every derived column reads the same arrays."""
-    return df.withColumns(
-        {
-            "_ids": X.interface_ids(text),
-            "_codes": X.error_codes(text),
-            "_paths": X.paths_rooted(text, profile),
-        }
-    )
+def _with_matches(df: DataFrame, text: Column, profile: str) -> tuple[DataFrame, list[str]]:
+    """Add the shared matches in a stage of their own, so each pattern is searched once."""
+    found = {
+        "_ids": X.interface_ids(text),
+        "_codes": X.error_codes(text),
+        "_paths": X.paths_rooted(text, profile),
+    }
+    if profile == "v1":
+        found["error_family"] = families.family_v1(text_or_empty(text))
+    else:
+        found["error_family"] = families.fixed_family(text, "v2")
+        found.update(times.raw_times(text, "v2"))
+    return df.withColumns(found), [c for c in found if c.startswith("_")]
 
 
 def _shared_fields(text: Column, profile: str) -> dict[str, Column]:
@@ -65,15 +69,16 @@ def extract_fields(
     profile of the short description. List fields are comma-joined text, NULL
     when empty.
     """
+    if profile not in ("v1", "v2"):
+        raise ValueError(f"unknown profile {profile!r}")
     text = F.col(text_col)
     fields = _shared_fields(text, profile)
+    matched, temporary = _with_matches(df, text, profile)
     if profile == "v1":
-        lists = _with_lists(df, text, profile).withColumn("error_family", families.family_v1(text_or_empty(text)))
         fields["error_anomalies_unmatched"] = join_or_null(
             families.unmatched_anomalies(text_or_empty(text), F.col("error_family")), "; "
         )
-    elif profile == "v2":
-        lists = _with_lists(df, text, profile).withColumn("error_family", families.fixed_family(text, "v2"))
+    else:
         fields.update(
             {
                 "interface_count": F.size("_ids").cast("bigint"),
@@ -82,7 +87,7 @@ def extract_fields(
                 "ftp_code": X.ftp_code_550(text),
                 "permission_denied": X.permission_denied(text),
                 "not_connected": X.not_connected(text),
-                **times.fired_time(text),
+                **times.fired_time(F.col("_iso"), F.col("_named")),
                 "script_name": X.script_name(text),
                 "host_tag": X.host_tag(text, host_prefix),
                 "warning_subject": X.warning_subject(text, F.col("error_family")),
@@ -90,9 +95,7 @@ def extract_fields(
         )
         if raw_chain:
             fields["interface_chain_raw"] = X.chain_raw(text)
-    else:
-        raise ValueError(f"unknown profile {profile!r}")
-    return lists.withColumns(fields).drop("_ids", "_codes", "_paths")
+    return matched.withColumns(fields).drop(*temporary)
 
 
 def shortdesc_extract(df: DataFrame, raw_chain: bool = False, host_prefix: str = HOST_TAG_PREFIX) -> DataFrame:
@@ -170,11 +173,12 @@ def extract_features(
     given = [c for c in df.columns if c not in FEATURE_COLUMNS]
     text = F.col("_text")
     step = df.withColumn("_text", text_or_empty(feature_text(profile)))
-    step = step.withColumn("_tags", X.operation_tags(text, profile))
+    step = step.withColumns({"_tags": X.operation_tags(text, profile), **times.raw_times(text, profile)})
+    fired = F.col("_fired") if profile == "v3" else None
     fields = {
         "error_family_extracted": families.fixed_family(text, profile),
         **X.triplet(text),
-        "extracted_timestamp": times.extracted_timestamp(text, profile),
+        "extracted_timestamp": times.extracted_timestamp(F.col("_iso"), F.col("_named"), fired),
         "operation": X.operation(text, F.col("_tags")),
         "operation_success": X.operation_success(F.col("_tags"), profile),
         "operation_tags": join_list(F.col("_tags")),

@@ -176,7 +176,13 @@ def _path_key(path: Column, any_text: bool) -> Column:
     return F.when(key.isNull() | key.rlike(_PATH_RUN + r"\z"), key).otherwise(F.raise_error(message))
 
 
-def drill_through_all(df: DataFrame, paths: DataFrame, any_text: bool = False) -> DataFrame:
+# Path tables up to this many bytes of text are broadcast to drop useless offers early.
+BROADCAST_BYTES = 64 << 20
+
+
+def drill_through_all(
+    df: DataFrame, paths: DataFrame, any_text: bool = False, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """``path, matching_incidents`` for every path of a path table.
 
     Same test as :func:`drill_through` for all paths at once, without comparing
@@ -189,6 +195,11 @@ def drill_through_all(df: DataFrame, paths: DataFrame, any_text: bool = False) -
     Runs start where an absolute path can start and hold the characters one can
     have. ``any_text`` lets them start anywhere and go to the end of the line,
     for tables with other entries; it costs far more.
+
+    The path table's size is measured first (write the table before calling). Up
+    to ``broadcast_bytes`` of text, offers that are no path are dropped before
+    they are counted; beyond that all offers are counted and the join sorts them
+    out. Both give the same result.
     """
     starts, run = (_ANY_START, _LINE_RUN) if any_text else (_PATH_START, _PATH_RUN)
     pooled = F.lower(F.concat_ws("\n", *[F.col(c) for c in DRILL_TEXT if c in df.columns]))
@@ -206,8 +217,11 @@ def drill_through_all(df: DataFrame, paths: DataFrame, any_text: bool = False) -
         .select("text", "start", F.substring("text", F.col("start"), F.col("len")).alias("offer"))
         .where(F.instr(F.col("text"), F.col("offer")) == F.col("start"))
     )
-    counted = offers.groupBy("offer").agg(F.count(F.lit(1)).alias("n"))
     keyed = paths.select("path", _path_key(F.col("path"), any_text).alias("offer"))
+    size = keyed.agg(F.coalesce(F.sum(F.octet_length("offer") + 64), F.lit(0))).first()[0]
+    if size <= broadcast_bytes:
+        offers = offers.join(F.broadcast(keyed.select("offer").distinct()), "offer", "left_semi")
+    counted = offers.groupBy("offer").agg(F.count(F.lit(1)).alias("n"))
     return (
         keyed.join(counted, "offer", "left")
         .select("path", F.coalesce("n", F.lit(0)).alias("matching_incidents"))

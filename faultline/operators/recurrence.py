@@ -1,12 +1,11 @@
 """Recurrence: the previous incident of the same interface and error family.
 
 A plain ``lag`` over (interface, family) would sort each group in one task, and
-one group may hold a large share of all incidents. Here incidents are first
-reduced to *instants* - distinct opening times per key, counted with map-side
-combine - and the instants are ordered inside one-hour slices. A second, small
-window carries the last instant of a slice to the next one. The largest sort is
-one hour of one key (3600 instants at one-second resolution), or one row per
-hour of one key.
+one group may hold a large share of all incidents. Here time is cut into
+one-hour slices. Incidents are first reduced, with map-side combine, to slices
+(for the pair totals) or to *instants*, the distinct opening times of a key (for
+the rows). The largest sort is then one hour of distinct times of one key, or
+one row per hour of one key.
 """
 
 from __future__ import annotations
@@ -35,15 +34,21 @@ def _slice(ts: Column) -> Column:
     return F.unix_date(ts.cast("date")) * 24 + F.hour(ts)
 
 
-def _with_previous_instant(instants: DataFrame, keys: tuple[str, ...], ts: str) -> DataFrame:
-    """Append ``prev_instant``: the latest earlier instant of the same key."""
+def _with_previous_instant(instants: DataFrame, keys: tuple[str, ...], ts: str, payload: str) -> DataFrame:
+    """Append ``prev_instant``: the latest earlier instant of the same key.
+
+    Inside a slice it is the preceding instant; the first instant of a slice
+    takes the last one of the nearest earlier slice. ``payload`` is carried
+    through the slice aggregate so that both uses of ``instants`` need the same
+    columns and Spark shuffles them once.
+    """
     sliced = instants.withColumn("_slice", _slice(F.col(ts)))
     inside = W.partitionBy(*keys, "_slice").orderBy(ts)
     across = W.partitionBy(*keys).orderBy("_slice")
     carry = (
         sliced.groupBy(*keys, "_slice")
-        .agg(F.max(ts).alias("_last"))
-        .select(*keys, "_slice", F.lag("_last").over(across).alias("_carried"))
+        .agg(F.max(F.struct(ts, payload)).alias("_last"))
+        .select(*keys, "_slice", F.lag("_last").over(across)[ts].alias("_carried"))
     )
     lagged = sliced.withColumn("_inside", F.lag(ts).over(inside))
     return (
@@ -74,7 +79,7 @@ def add_recurrence(
         .groupBy(*keys, ts)
         .agg(F.min(F.struct(F.col(order), F.col("_row")))["_row"].alias("_first"))
     )
-    ticks = _with_previous_instant(instants, keys, ts).withColumn("_hit", F.lit(True))
+    ticks = _with_previous_instant(instants, keys, ts, "_first").withColumn("_hit", F.lit(True))
     prev = F.when(
         F.col("_hit"), F.when(F.col("_row") == F.col("_first"), F.col("prev_instant")).otherwise(F.col(ts))
     )
@@ -91,14 +96,21 @@ def recurrence_pairs(
 ) -> DataFrame:
     """Recurrences per (interface, family), most first; NULL keys are left out.
 
-    Works on instants alone: of ``n`` incidents at one instant ``n - 1`` recur at
-    once, and the first recurs when the previous instant is near enough. The
-    incidents themselves are never shuffled.
+    Works on slices alone, without ordering incidents: a slice is no longer than
+    ``hours`` (at least 1), so all its incidents but the first recur, and the
+    first recurs when the end of the nearest earlier slice is near enough.
     """
-    instants = df.where(_keyed(df, keys, ts)).groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_n"))
-    near = F.coalesce(_gap_ok(F.col(ts), F.col("prev_instant"), hours), F.lit(False))
+    if hours < 1:
+        raise ValueError("hours must be at least 1")
+    slices = (
+        df.where(_keyed(df, keys, ts))
+        .groupBy(*keys, _slice(F.col(ts)).alias("_slice"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_from"), F.max(ts).alias("_to"))
+    )
+    before = F.lag("_to").over(W.partitionBy(*keys).orderBy("_slice"))
+    near = F.coalesce(_gap_ok(F.col("_from"), F.col("_before"), hours), F.lit(False))
     return (
-        _with_previous_instant(instants, keys, ts)
+        slices.withColumn("_before", before)
         .groupBy(*keys)
         .agg(F.sum(F.col("_n") - 1 + near.cast("bigint")).alias("recurs_24h_count"))
         .orderBy(F.col("recurs_24h_count").desc(), *keys)

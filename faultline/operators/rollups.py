@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.extract import triplet_label
-from .common import value_counts
+from .common import constant_table, value_counts
 from .recurrence import recurrence_pairs
 
 __all__ = [
@@ -62,25 +62,23 @@ def monthly_trend(df: DataFrame) -> DataFrame:
     return df.groupBy("month").agg(F.count("number").alias("count")).orderBy("month")
 
 
-def _weekdays(df: DataFrame) -> DataFrame:
-    rows = [(i, d) for i, d in enumerate(P.WEEKDAYS, start=1)]
-    return df.sparkSession.createDataFrame(rows, "dow_no int, dow string")
-
-
 def dow_counts(df: DataFrame) -> DataFrame:
     """Tickets per weekday, Monday first; a day without tickets has a NULL count."""
     counted = df.groupBy("dow").agg(F.count("number").alias("count"))
-    return _weekdays(df).join(counted, "dow", "left").orderBy("dow_no").select("dow", "count")
+    days = constant_table(df, "dow", P.WEEKDAYS)
+    return days.join(counted, "dow", "left").orderBy("position").select("dow", "count")
 
 
 def dow_hour_matrix(df: DataFrame, absent_days_null: bool = False) -> DataFrame:
     """Weekday x hour counts, columns ``h00`` to ``h23``.
 
     Empty cells are 0. ``absent_days_null`` leaves a day without any row NULL.
+    Cells are counted by (day, hour) first; the pivot then sees at most 168 rows.
     """
-    hours = {h: F.sum((F.col("hour") == h).cast("bigint")).alias(f"h{h:02d}") for h in range(24)}
-    cells = df.groupBy("dow").agg(*hours.values())
-    out = _weekdays(df).join(cells, "dow", "left").orderBy("dow_no").drop("dow_no")
+    cells = df.groupBy("dow", "hour").agg(F.count(F.lit(1)).alias("n"))
+    hours = [F.coalesce(F.sum(F.when(F.col("hour") == h, F.col("n"))), F.lit(0)).alias(f"h{h:02d}") for h in range(24)]
+    days = constant_table(df, "dow", P.WEEKDAYS)
+    out = days.join(cells.groupBy("dow").agg(*hours), "dow", "left").orderBy("position").drop("position")
     return out if absent_days_null else out.fillna(0)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import has_match, rx, strip_ws
-from .common import with_lists_exploded
+from .common import constant_table, with_lists_exploded
 
 
 def _scenario_tests(text: Column) -> dict[str, Column]:
@@ -42,16 +42,11 @@ def scenario_tall(tagged: DataFrame) -> DataFrame:
     return with_lists_exploded(tagged, "scenarios", "scenario")
 
 
-def _all_scenarios(df: DataFrame) -> DataFrame:
-    rows = [(i, name) for i, name in enumerate(P.SCENARIOS)]
-    return df.sparkSession.createDataFrame(rows, "position int, scenario string")
-
-
 def scenario_counts(tall: DataFrame) -> DataFrame:
     """``group, count`` of all nine scenarios in reported order, zeros kept."""
     counted = tall.groupBy("scenario").agg(F.count(F.lit(1)).alias("n"))
     return (
-        _all_scenarios(tall)
+        constant_table(tall, "scenario", P.SCENARIOS)
         .join(counted, "scenario", "left")
         .orderBy("position")
         .select(F.col("scenario").alias("group"), F.coalesce("n", F.lit(0)).alias("count"))

@@ -350,15 +350,6 @@ query("ftp_code_message")(
 )
 
 
-def _operations(text: Column, profile: str) -> dict[str, Column]:
-    tags = X.operation_tags(text, profile)
-    return {
-        "tags": join_list(tags),
-        "operation": X.operation(text, tags),
-        "success": X.operation_success(tags, profile),
-    }
-
-
 def _v3_text() -> Column:
     return prefer_text(desc(), sd())
 
@@ -367,18 +358,33 @@ def _v4_text() -> Column:
     return fields.feature_text("v4")
 
 
-query("operation_tags")(
-    per_row(lambda: [
-        _operations(_v3_text(), "v3")["tags"].alias("tags_v3"), _operations(_v4_text(), "v4")["tags"].alias("tags_v4")])
-)
-query("operation")(
-    per_row(lambda: [
-        *[
-            _operations(text, profile)[name].alias(f"{name}_{profile}")
-            for profile, text in (("v3", _v3_text()), ("v4", _v4_text()))
-            for name in ("operation", "success")
-        ]])
-)
+@query("operation_tags")
+def _(spark, sf_dir):
+    df = incidents(spark, sf_dir)
+    return df.select(
+        "number",
+        join_list(X.operation_tags(_v3_text(), "v3")).alias("tags_v3"),
+        join_list(X.operation_tags(_v4_text(), "v4")).alias("tags_v4"),
+    )
+
+
+@query("operation")
+def _(spark, sf_dir):
+    staged = incidents(spark, sf_dir).select(
+        "number",
+        _v3_text().alias("text_v3"),
+        _v4_text().alias("text_v4"),
+        X.operation_tags(_v3_text(), "v3").alias("tags_v3"),
+        X.operation_tags(_v4_text(), "v4").alias("tags_v4"),
+    )
+    columns = []
+    for p in ("v3", "v4"):
+        tags = F.col(f"tags_{p}")
+        columns.append(X.operation(F.col(f"text_{p}"), tags).alias(f"operation_{p}"))
+        columns.append(X.operation_success(tags, p).alias(f"success_{p}"))
+    return staged.select("number", *columns)
+
+
 query("hosts")(
     per_row(lambda: [
         join_list(X.app_hosts(_v4_text(), fields.HOST_DOMAIN)).alias("hosts_v3"),
@@ -388,13 +394,30 @@ query("host_tag")(per_row(lambda: [X.host_tag(sd(), fields.HOST_TAG_PREFIX).alia
 query("script_name")(per_row(lambda: [X.script_name(sd()).alias("script_name")]))
 query("warning_subject")(per_row(lambda: [X.warning_subject(sd(), families.fixed_family(sd(), "v2")).alias("warning_subject")]))
 query("fms_class")(per_row(lambda: [X.fms_class(desc()).alias("fms_err_class")]))
-query("fired_time")(per_row(lambda: [*[c.alias(n) for n, c in times.fired_time(sd()).items()]]))
-query("extracted_timestamp")(
-    per_row(lambda: [
-        times.extracted_timestamp(_v4_text(), "v3").alias("timestamp_v3"),
-        times.extracted_timestamp(_v4_text(), "v4").alias("timestamp_v4"),
-        times.extracted_timestamp(desc(), "v4").alias("timestamp_desc"),])
-)
+
+
+@query("fired_time")
+def _(spark, sf_dir):
+    raw = incidents(spark, sf_dir).withColumns(times.raw_times(sd(), "v2"))
+    return raw.select("number", *[c.alias(n) for n, c in times.fired_time(F.col("_iso"), F.col("_named")).items()])
+
+
+@query("extracted_timestamp")
+def _(spark, sf_dir):
+    df = incidents(spark, sf_dir)
+    iso, named = F.col("_iso"), F.col("_named")
+    pooled = df.withColumns(times.raw_times(_v4_text(), "v3")).withColumns(
+        {
+            "timestamp_v3": times.extracted_timestamp(iso, named, F.col("_fired")),
+            "timestamp_v4": times.extracted_timestamp(iso, named),
+        }
+    )
+    described = pooled.withColumns(times.raw_times(desc(), "v4"))
+    return described.select(
+        "number", "timestamp_v3", "timestamp_v4", times.extracted_timestamp(iso, named).alias("timestamp_desc")
+    )
+
+
 query("caller_class")(per_row(lambda: [X.caller_class(F.col("caller")).alias("caller_class")]))
 query("status_canonical")(per_row(lambda: [X.canonical_status(F.col("status")).alias("status_canonical")]))
 query("closure_quality")(

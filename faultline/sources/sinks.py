@@ -27,19 +27,17 @@ def or_unknown(c: Column) -> Column:
     return F.coalesce(c, F.lit(P.UNKNOWN))
 
 
-def write_run(
-    tall: DataFrame, path: str, run_id: str | None = None, files_per_scenario: int = 8, max_records: int = 2_000_000
-) -> None:
-    """Tall scenario table as ``run_id=/scenario=`` folders; other scenarios' files are kept.
+def write_run(tall: DataFrame, path: str, run_id: str | None = None, max_records: int = 2_000_000) -> None:
+    """Tall scenario table as ``run_id=/scenario=`` folders; other runs' files are kept.
 
-    Rows of a scenario go to ``files_per_scenario`` tasks, so a dominant scenario
-    is written in parallel and a rare one does not become one file per input task.
+    Rows are rebalanced by folder: adaptive execution splits a dominant scenario
+    over as many tasks as its size asks for and merges the rare ones, so neither
+    one huge file nor one file per input task is written.
     """
     df = tall if run_id is None else tall.withColumn("run_id", F.lit(run_id))
-    slot = F.pmod(F.xxhash64(F.col("number"), F.col("opened")), F.lit(files_per_scenario))
-    spread = df.withColumn("_slot", slot).repartition("run_id", "scenario", "_slot").drop("_slot")
     (
-        spread.write.mode("overwrite")
+        df.hint("rebalance", "run_id", "scenario")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records)
         .partitionBy("run_id", "scenario")
@@ -50,11 +48,15 @@ def write_run(
 def write_subgroups(tall: DataFrame, path: str, scenario: str, key: str, max_records: int = 2_000_000) -> None:
     """Rows of one scenario in one folder per value of ``key``, NULL as ``UNKNOWN``.
 
-    The original column is kept; the folder column is ``by_<key>``. Rows are
-    clustered by value before writing, spread over eight tasks each.
+    The original column is kept; the folder column is ``by_<key>``. Rebalanced
+    like :func:`write_run`, because ``UNKNOWN`` may hold most rows.
     """
     folder = f"by_{key}"
     rows = tall.where(F.col("scenario") == scenario).withColumn(folder, or_unknown(F.col(key)))
-    slot = F.pmod(F.xxhash64(F.col("number"), F.col("opened")), F.lit(8))
-    spread = rows.withColumn("_slot", slot).repartition(folder, "_slot").drop("_slot")
-    spread.write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy(folder).parquet(path)
+    (
+        rows.hint("rebalance", folder)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", max_records)
+        .partitionBy(folder)
+        .parquet(path)
+    )

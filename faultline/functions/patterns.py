@@ -73,6 +73,7 @@ DAYPARTS = (
     (17, "Afternoon(12-17)"),
     (23, "Evening(18-23)"),
 )
+SERIAL_DAYS = r"^\s*[+-]?\d+(?:\.\d*)?\s*\z"
 SERIAL_DAY_ORIGIN = "1899-12-30 00:00:00"
 
 # --- error families ----------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
-from .text import first_match, lookup, strip_ws
+from .text import first_match, lookup, rx
 
 # Largest day serial of the spreadsheet calendar (9999-12-31).
 _MAX_SERIAL = 2958465
@@ -20,14 +20,11 @@ def parse_opened(c: Column) -> Column:
 
     The fraction of a serial is the time of day. Unparseable text gives NULL.
     """
-    text = strip_ws(c)
-    serial = F.when(text.rlike(r"^[+-]?\d+(?:\.\d*)?\z"), text.try_cast("double"))
-    in_range = F.when(F.abs(serial) <= _MAX_SERIAL, serial)
-    micros = F.round(in_range * F.lit(86400000000.0)).try_cast("bigint")
-    from_serial = F.timestamp_add(
-        "MICROSECOND", micros, F.lit(P.SERIAL_DAY_ORIGIN).cast("timestamp_ntz")
-    )
-    return F.coalesce(from_serial, F.when(serial.isNull(), text.try_cast("timestamp_ntz")))
+    days = c.try_cast("double")
+    micros = F.round(days * F.lit(86400000000.0)).try_cast("bigint")
+    origin = F.lit(P.SERIAL_DAY_ORIGIN).cast("timestamp_ntz")
+    from_serial = F.when(F.abs(days) <= _MAX_SERIAL, F.timestamp_add("MICROSECOND", micros, origin))
+    return F.when(c.rlike(rx(P.SERIAL_DAYS)), from_serial).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def month(ts: Column) -> Column:

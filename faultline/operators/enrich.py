@@ -75,7 +75,11 @@ def enrich(
     profile: str = "v1",
     opened: str = "opened",
 ) -> DataFrame:
-    """Full enrichment of an incident table. Write the result once before several rollups."""
+    """Full enrichment of an incident table.
+
+    The row-local part and the CI join are written once to the shared folder
+    (see :func:`~faultline.operators.recurrence.add_recurrence`).
+    """
     out = enrich_rows(df, text_col, profile, opened)
     if ci_lookup is None:
         out = out.withColumn("ci", F.col("configuration_item")).withColumns(

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import written
+
 KEYS = ("primary_interface", "error_family")
 
 
@@ -59,7 +61,12 @@ def _with_previous_instant(instants: DataFrame, keys: tuple[str, ...], ts: str,
 
 
 def add_recurrence(
-    df: DataFrame, ts: str = "opened_dt", keys: tuple[str, ...] = KEYS, order: str = "number", hours: int = 24
+    df: DataFrame,
+    ts: str = "opened_dt",
+    keys: tuple[str, ...] = KEYS,
+    order: str = "number",
+    hours: int = 24,
+    row_id: str | None = None,
 ) -> DataFrame:
     """Append ``prev_time`` and ``recurs_24h``.
 
@@ -67,21 +74,21 @@ def add_recurrence(
     keys, in order of time then ``order``; NULL when a key is NULL or nothing
     precedes. ``recurs_24h`` is true when the gap is at most ``hours``.
 
-    Incidents sharing an instant follow each other with no gap; only the first
-    of them looks back to an earlier instant. Write the input to a table first
-    when it is costly to derive: it is read once for the instants and once for
-    the rows.
+    Incidents of one instant follow each other with no gap; only the first of
+    them looks back to an earlier instant. Which one that is must not change
+    between the two reads of the table, also among copies of one ticket. So
+    ``row_id`` names a stored unique column; without one the table is written to
+    the shared folder with ids first, which also saves deriving it twice.
     """
-    # The row id picks one row among copies of one ticket at one instant.
-    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    rows, rid = (df, row_id) if row_id is not None else (written(df, "recurrence-rows", "_row"), "_row")
     instants = (
         rows.where(_keyed(df, keys, ts))
         .groupBy(*keys, ts)
-        .agg(F.min(F.struct(F.col(order), F.col("_row")))["_row"].alias("_first"))
+        .agg(F.min(F.struct(F.col(order).alias("o"), F.col(rid).alias("r")))["r"].alias("_first"))
     )
     ticks = _with_previous_instant(instants, keys, ts, "_first").withColumn("_hit", F.lit(True))
     prev = F.when(
-        F.col("_hit"), F.when(F.col("_row") == F.col("_first"), F.col("prev_instant")).otherwise(F.col(ts))
+        F.col("_hit"), F.when(F.col(rid) == F.col("_first"), F.col("prev_instant")).otherwise(F.col(ts))
     )
     return (
         rows.join(ticks, [*keys, ts], "left")
@@ -102,10 +109,14 @@ def recurrence_pairs(
     """
     if hours < 1:
         raise ValueError("hours must be at least 1")
+    # NULL keys are dropped after counting: a filter before it would be pushed
+    # down and evaluate derived keys twice.
     slices = (
-        df.where(_keyed(df, keys, ts))
-        .groupBy(*keys, _slice(F.col(ts)).alias("_slice"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_from"), F.max(ts).alias("_to"))
+        df.groupBy(*keys, _slice(F.col(ts)).alias("_slice"))
+        .agg(
+            F.sum(_keyed(df, keys, ts).cast("bigint")).alias("_n"), F.min(ts).alias("_from"), F.max(ts).alias("_to")
+        )
+        .where(F.col("_n") > 0)
     )
     before = F.lag("_to").over(W.partitionBy(*keys).orderBy("_slice"))
     near = F.coalesce(_gap_ok(F.col("_from"), F.col("_before"), hours), F.lit(False))

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Spark defaults that suit these workloads; a cluster's own settings win when
 # the session already exists.
@@ -49,3 +50,28 @@ def shared_folder(spark: SparkSession) -> str:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """Fresh path for a written table inside the shared folder."""
     return f"{shared_folder(spark)}/faultline/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, row_id: str | None = None) -> DataFrame:
+    """``df`` as a table written to the shared folder and read back.
+
+    Cuts the lineage, so what follows survives lost executors without repeating
+    the work before it, and reads only the columns it needs. ``row_id`` adds a
+    unique id per row, stable because it is stored. The files are the caller's to
+    remove once the result has been used.
+    """
+    if row_id is not None:
+        df = df.withColumn(row_id, F.monotonically_increasing_id())
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer tasks than cores over all cores.
+
+    Text extraction costs far more than reading, and a small file is one task.
+    A table of any size has tasks enough and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

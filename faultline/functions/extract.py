@@ -96,7 +96,7 @@ def ftp_code(c: Column) -> Column:
 def ftp_message(c: Column) -> Column:
     """Text after the code up to the first full stop, trailing punctuation removed."""
     message = F.regexp_extract(text_or_empty(c), "(?U)" + P.FTP_CODE_MESSAGE, 2)
-    return F.regexp_replace(strip_ws(message), r"[ .;:]+\z", "")
+    return F.rtrim(strip_ws(message), F.lit(" .;:"))
 
 
 def permission_denied(c: Column) -> Column:
@@ -206,7 +206,7 @@ def paths_rooted(c: Column, profile: str) -> Column:
 
 def normalize_path(c: Column) -> Column:
     """Trim, drop trailing punctuation, collapse repeated slashes."""
-    return F.regexp_replace(F.regexp_replace(strip_ws(c), "[ .;:\t)]+\\z", ""), "/{2,}", "/")
+    return F.regexp_replace(F.rtrim(strip_ws(c), F.lit(" .;:\t)")), "/{2,}", "/")
 
 
 def _clean(paths: Column) -> Column:

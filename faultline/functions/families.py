@@ -31,7 +31,8 @@ def flex_family(c: Column, lexicon: Sequence[str], default: str | None) -> Colum
     if not entries:
         return F.lit(default).cast("string")
     alternation = "|".join(_SEPARATORS.join(_words(n)) for n in lexicon if _words(n))
-    hit = F.regexp_extract(c, f"(?i)(?:{alternation})", 0)
+    initials = "".join(sorted({key[0] for key in entries}))
+    hit = F.regexp_extract(c, f"(?i)(?=[{initials}])(?:{alternation})", 0)
     key = F.lower(F.regexp_replace(hit, "[^A-Za-z0-9]", ""))
     return F.coalesce(lookup(key, entries), F.lit(default).cast("string"))
 
@@ -82,7 +83,7 @@ def unmatched_anomalies(c: Column, family: Column) -> Column:
     Lower-cased, distinct, in first-seen order.
     """
     base = F.regexp_replace(F.lower(family), "[^A-Za-z0-9]", "")
-    hits = all_matches(c, "|".join(P.ANOMALY_HINTS), 0, ignore_case=True)
+    hits = all_matches(c, r"\b(?:" + "|".join(P.ANOMALY_HINTS) + r")\b", 0, ignore_case=True)
     lowered = F.array_distinct(F.transform(hits, lambda h: F.lower(strip_ws(h))))
 
     def is_new(hint: Column) -> Column:

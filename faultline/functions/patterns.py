@@ -169,23 +169,23 @@ FAMILY_LABELS_V3 = {
     "missing files": "MISSING-FILES",
 }
 
-# Hints of trouble that are not families. i
+# Hints of trouble that are not families, each a whole word or phrase. i
 ANOMALY_HINTS = (
-    r"\btime(?:out)?\b",
-    r"\bconnection\s+refused\b",
-    r"\bconnection\s+reset\b",
-    r"\bno\s+such\s+file\b",
-    r"\bpermission\b",
-    r"\bdenied\b",
-    r"\bauth(?:entication)?\s+fail(?:ure)?\b",
-    r"\bssl\s+error\b",
-    r"\bh(?:ttps|ttp)\b",
-    r"\bcertificate\b",
-    r"\bhandshake\b",
-    r"\bproxy\b",
-    r"\brefused\b",
-    r"\breset\b",
-    r"\bnot\s+found\b",
+    r"time(?:out)?",
+    r"connection\s+refused",
+    r"connection\s+reset",
+    r"no\s+such\s+file",
+    r"permission",
+    r"denied",
+    r"auth(?:entication)?\s+fail(?:ure)?",
+    r"ssl\s+error",
+    r"h(?:ttps|ttp)",
+    r"certificate",
+    r"handshake",
+    r"proxy",
+    r"refused",
+    r"reset",
+    r"not\s+found",
 )
 
 # --- operation tags, in reported order. i ------------------------------------

@@ -7,9 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as ``str.strip`` sees it; Spark's ``trim`` removes spaces only.
-_WS_CLASS = r"\s\x1c-\x1f\x{85}\p{Z}"
-_WS = f"[{_WS_CLASS}]"
+# Whitespace as ``str.strip`` sees it; without a list Spark's trim removes spaces only.
+WHITESPACE = "".join(
+    map(
+        chr,
+        [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
+)
 
 
 def rx(pattern: str, ignore_case: bool = False) -> str:
@@ -33,12 +37,12 @@ def has_match(c: Column, pattern: str, ignore_case: bool = False) -> Column:
 
 
 def strip_ws(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{_WS}+|{_WS}+\\z", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def is_blank(c: Column) -> Column:
     """NULL, empty or whitespace only."""
-    return ~F.coalesce(c.rlike(f"[^{_WS_CLASS}]"), F.lit(False))
+    return F.coalesce(strip_ws(c), F.lit("")) == ""
 
 
 def text_or_empty(c: Column) -> Column:

@@ -21,7 +21,7 @@ from ..operators import fields, filters, rollups, scenarios, unique_paths
 from ..operators import scenario_tables as S
 from ..operators.common import explode_list, value_counts
 from ..operators.recurrence import add_recurrence, recurrence_pairs
-from ..session import new_table_path
+from ..session import new_table_path, written
 from ..sources import readers, schema, sinks
 from .fixtures import ci_lookup, incidents
 
@@ -470,7 +470,9 @@ query("drill_through")(
     over(helped, lambda df: filters.drill_through(df, "/OPT/big/configs/E00001").select("number", "paths"))
 )
 query("drill_through_all")(
-    lambda spark, sf_dir: filters.drill_through_all(helped(spark, sf_dir), path_table(spark, sf_dir))
+    lambda spark, sf_dir: filters.drill_through_all(
+        helped(spark, sf_dir), written(path_table(spark, sf_dir), "unique-paths")
+    )
 )
 query("preview")(over(incidents, lambda df: filters.preview(df).select("number", "status")))
 

@@ -16,6 +16,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot never compiles a method above 8000 bytes; a projection with many
+    # patterns in one generated method would run interpreted. Above the limit
+    # Spark uses split, compilable projections instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -730,11 +730,19 @@ UNION ALL SELECT {_unk('primary_interface')}, {_unk('ftp_command')}, {_unk('ftp_
         r"""SELECT token, count(*) AS count FROM (SELECT lower(unnest(regexp_extract_all(sd, '[A-Za-z0-9_/.\-]+'))) AS token
   FROM tall WHERE scenario = 'misc') GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 200""", "tall")
     sql["top_offenders"] = _tally("tall", "primary_interface", n=10, unknown=True, count="incidents_count")
-    sql["run_summary"] = _with(
-        f"""SELECT count(*) AS total_rows, count(*) FILTER (WHERE scenario <> 'misc') AS coverage_non_misc,
+    summary = f"""SELECT count(*) AS total_rows, count(*) FILTER (WHERE scenario <> 'misc') AS coverage_non_misc,
   CAST(count(*) FILTER (WHERE scenario <> 'misc') AS DOUBLE) / count(*) * 100.0 AS coverage_pct,
-  (SELECT string_agg(name || '=' || (SELECT count(*) FROM tall t WHERE t.scenario = name), ';' ORDER BY pos) FROM names) AS group_counts,
+  {{groups}} AS group_counts,
   {_avg('primary_interface IS NULL')} AS pct_missing_primary_interface, {_avg("error_family = 'other'")} AS pct_error_family_other,
   count(stuck_files_count) + count(stuck_for_minutes) AS rows_with_stuck_metrics, count(ftp_command) + count(ftp_code) AS rows_with_ftp_metadata
-FROM tall""", "tall", "names")
+FROM tall"""
+    per_group = "SELECT pos, name, count(scenario) AS n FROM names LEFT JOIN tall ON scenario = name GROUP BY 1, 2"
+    sql["run_summary"] = _with(
+        summary.format(groups=f"(SELECT string_agg(name || '=' || n, ';' ORDER BY pos) FROM ({per_group}))"), "tall", "names")
+    as_map = f"(SELECT map(list(name ORDER BY pos), list(n ORDER BY pos)) FROM ({per_group}))"
+    offenders = f"""(SELECT list(struct_pack(primary_interface := k, incidents_count := n) ORDER BY n DESC, k) FROM (
+    SELECT {_unk('primary_interface')} AS k, count(*) AS n FROM tall GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10))"""
+    sql["summary_json"] = _with(
+        f"""SELECT CAST(to_json(s) AS VARCHAR) AS summary
+FROM (SELECT *, {offenders} AS top_offenders_interfaces FROM ({summary.format(groups=as_map)})) s""", "tall", "names")
     return sql

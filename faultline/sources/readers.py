@@ -34,19 +34,25 @@ CSV_OPTIONS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """CSV with a declared schema, so nothing is scanned to infer types.
 
-    ``multiLine`` keeps one file per task; large exports should be several files.
+    ``multi_line`` allows line ends inside quotes but makes each file one task:
+    give large exports as many files, or turn it off where no cell has line ends.
     """
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def read_incidents(
-    spark: SparkSession, path: str, sheet: str | int | None = None, schema: T.StructType = INCIDENT_SCHEMA
+    spark: SparkSession,
+    path: str,
+    sheet: str | int | None = None,
+    schema: T.StructType = INCIDENT_SCHEMA,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Incident table from CSV (by suffix) or Parquet, optionally one sheet of it."""
-    df = read_csv(spark, path, schema) if path.endswith(".csv") else spark.read.parquet(path)
+    df = read_csv(spark, path, schema, multi_line) if path.endswith(".csv") else spark.read.parquet(path)
     return df if sheet is None else select_sheet(df, sheet)
 
 

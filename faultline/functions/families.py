@@ -47,8 +47,12 @@ def family_v1(c: Column) -> Column:
     return lexicon_label(flex_family(c, P.FAMILY_LEXICON, P.OTHER))
 
 
-def _token(c: Column, profile: str) -> Column:
-    return first_match(c, r"\b(" + "|".join(P.FAMILY_PATTERNS[profile]) + r")\b", 1, ignore_case=True)
+def family_token(c: Column, profile: str) -> Column:
+    """First match of the profile's alternation as written, NULL when there is none."""
+    names = P.FAMILY_PATTERNS[profile]
+    # Every alternative starts with a letter; testing it first skips most words.
+    initials = "".join(sorted({n[0].lower() for n in names}))
+    return first_match(c, rf"\b(?=[{initials}])({'|'.join(names)})\b", 1, ignore_case=True)
 
 
 def normalize_family(token: Column, profile: str) -> Column:
@@ -68,12 +72,12 @@ def normalize_family(token: Column, profile: str) -> Column:
 
 def fixed_family(c: Column, profile: str) -> Column:
     """First match of the profile's alternation, as a label."""
-    return normalize_family(_token(c, profile), profile)
+    return normalize_family(family_token(c, profile), profile)
 
 
 def fixed_family_or_empty(c: Column) -> Column:
     """As :func:`fixed_family` with the v2 patterns, but ``''`` when nothing matches."""
-    token = _token(c, "v2")
+    token = family_token(c, "v2")
     return F.when(token.isNull(), F.lit("")).otherwise(normalize_family(token, "v2"))
 
 

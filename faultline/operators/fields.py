@@ -39,9 +39,12 @@ def _with_matches(df: DataFrame, text: Column, profile: str) -> tuple[DataFrame,
     if profile == "v1":
         found["error_family"] = families.family_v1(text_or_empty(text))
     else:
-        found["error_family"] = families.fixed_family(text, "v2")
+        found["_token"] = families.family_token(text, "v2")
         found.update(times.raw_times(text, "v2"))
-    return df.withColumns(found), [c for c in found if c.startswith("_")]
+    out = df.withColumns(found)
+    if profile == "v2":
+        out = out.withColumn("error_family", families.normalize_family(F.col("_token"), "v2"))
+    return out, [c for c in found if c.startswith("_")]
 
 
 def _shared_fields(text: Column, profile: str) -> dict[str, Column]:
@@ -173,10 +176,16 @@ def extract_features(
     given = [c for c in df.columns if c not in FEATURE_COLUMNS]
     text = F.col("_text")
     step = df.withColumn("_text", text_or_empty(feature_text(profile)))
-    step = step.withColumns({"_tags": X.operation_tags(text, profile), **times.raw_times(text, profile)})
+    step = step.withColumns(
+        {
+            "_tags": X.operation_tags(text, profile),
+            "_token": families.family_token(text, profile),
+            **times.raw_times(text, profile),
+        }
+    )
     fired = F.col("_fired") if profile == "v3" else None
     fields = {
-        "error_family_extracted": families.fixed_family(text, profile),
+        "error_family_extracted": families.normalize_family(F.col("_token"), profile),
         **X.triplet(text),
         "extracted_timestamp": times.extracted_timestamp(F.col("_iso"), F.col("_named"), fired),
         "operation": X.operation(text, F.col("_tags")),

@@ -215,13 +215,15 @@ def drill_through_all(
         .where(F.col("run_length") > 0)
         .select("text", "start", F.explode(F.sequence(F.lit(1), F.col("run_length"))).alias("len"))
         .select("text", "start", F.substring("text", F.col("start"), F.col("len")).alias("offer"))
-        .where(F.instr(F.col("text"), F.col("offer")) == F.col("start"))
     )
     keyed = paths.select("path", _path_key(F.col("path"), any_text).alias("offer"))
     size = keyed.agg(F.coalesce(F.sum(F.octet_length("offer") + 64), F.lit(0))).first()[0]
     if size <= broadcast_bytes:
         offers = offers.join(F.broadcast(keyed.select("offer").distinct()), "offer", "left_semi")
-    counted = offers.groupBy("offer").agg(F.count(F.lit(1)).alias("n"))
+    # Tested inside the aggregate: as a filter it would run before the semi join,
+    # on every offer.
+    first_place = F.instr(F.col("text"), F.col("offer")) == F.col("start")
+    counted = offers.groupBy("offer").agg(F.sum(first_place.cast("bigint")).alias("n"))
     return (
         keyed.join(counted, "offer", "left")
         .select("path", F.coalesce("n", F.lit(0)).alias("matching_incidents"))

@@ -214,9 +214,9 @@ def test_absolute_only(spark):
 
 
 def test_file_patterns(spark):
-    texts = [r"hwdc2edi-predes21_*.xml Isotrak_*.zip d\e_*.x Isotrak_*.zip", "none"]
+    texts = [r"orders-in21_*.xml parcel_*.zip d\e_*.x parcel_*.zip", "none"]
     assert values(spark, lambda c: X.file_patterns(c, "v3"), texts) == [
-        ["hwdc2edi-predes21_*.xml", "Isotrak_*.zip", "e_*.x"], [],
+        ["orders-in21_*.xml", "parcel_*.zip", "e_*.x"], [],
     ]
     assert values(spark, lambda c: X.file_patterns(c, "v4"), texts)[0][2] == r"d\e_*.x"
 

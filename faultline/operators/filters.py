@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.extract import basename
@@ -144,7 +145,19 @@ def top_paths(paths: DataFrame, n: int = 30) -> DataFrame:
 
 
 def preview(df: DataFrame, order: Sequence[str] = ("opened", "number"), n: int = PREVIEW_LIMIT) -> DataFrame:
-    """First ``n`` rows in a fixed order."""
+    """First ``n`` rows in a fixed order.
+
+    A plain top-``n`` would send ``n`` rows of every task to one. When the order
+    starts with a time, rows are counted per day first and only the days that
+    hold the first ``n`` rows are sorted.
+    """
+    first = F.col(order[0])
+    if dict(df.dtypes)[order[0]].startswith(("timestamp", "date")):
+        days = df.groupBy(first.cast("date").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+        so_far = F.sum("rows").over(W.orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow))
+        enough = days.withColumn("so_far", so_far).where(F.col("so_far") >= n)
+        last_day = enough.agg(F.min("day")).scalar()
+        df = df.where(first.isNull() | last_day.isNull() | (first.cast("date") <= last_day))
     return df.orderBy(*order).limit(n)
 
 

@@ -171,3 +171,13 @@ def test_value_counts_and_pareto(spark):
     assert [tuple(r) for r in value_counts(df, "k", 2, "UNKNOWN", "n").collect()] == [("UNKNOWN", 3), ("a", 2)]
     assert [tuple(r) for r in pareto(df, "k", 2).collect()] == [("a", 2, 50.0), ("b", 2, 100.0)]
     assert pareto(df.where(F.lit(False)), "k").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 5, 9, 10, 11, 50])
+def test_preview_is_the_head_of_the_sorted_table(spark, n):
+    days = [0, 0, 0, 1, 1, 5, 5, 5, None, None]
+    rows = [(str(i), None if d is None else T0 + timedelta(days=d, minutes=(i * 7) % 5)) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "number string, opened timestamp_ntz").repartition(4)
+    ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or T0, r[0]))
+    assert [tuple(r) for r in filters.preview(df, n=n).collect()] == ordered[:n]
+    assert [r.number for r in filters.preview(df, order=("number",), n=n).collect()] == sorted(r[0] for r in rows)[:n]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe, decontaminate, language_id, line_dedup, ngram_join, warc
+from faultline.llm import bpe, decontaminate, language_id, line_dedup, ngram_join, voronoi, warc
 from faultline.llm.common import remainder, stored
 
 
@@ -70,9 +70,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_line_dedup, op4_decontaminate, op6_warc, op8_language_id, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_bpe, op3_line_dedup, op4_decontaminate, op6_warc, op8_language_id, op9_top_k, op10_ngram_join)}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe, decontaminate, language_id, line_dedup, ngram_join, voronoi, warc
+from faultline.llm import bpe, decontaminate, html_extract, language_id, line_dedup, ngram_join, voronoi, warc
 from faultline.llm.common import remainder, stored
 
 
@@ -43,6 +43,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     archives = warc.write_archives(warc.resolve_duplicates(pages), warc.train_dictionary(pages))
@@ -79,4 +84,4 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_line_dedup, op4_decontaminate, op6_warc, op8_language_id, op9_top_k, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_bpe, op3_line_dedup, op4_decontaminate, op5_html, op6_warc, op8_language_id, op9_top_k, op10_ngram_join)}

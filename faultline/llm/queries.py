@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe, decontaminate, html_extract, language_id, line_dedup, ngram_join, voronoi, warc
+from faultline.llm import bpe, context_tree, decontaminate, html_extract, language_id, line_dedup, ngram_join, voronoi, warc
 from faultline.llm.common import remainder, stored
 
 
@@ -30,6 +30,10 @@ def bpe_digests(decoded: DataFrame) -> DataFrame:
     )
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_texts(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) == 2)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id",
@@ -84,4 +88,4 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_line_dedup, op4_decontaminate, op5_html, op6_warc, op8_language_id, op9_top_k, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_bpe, op2_context_tree, op3_line_dedup, op4_decontaminate, op5_html, op6_warc, op8_language_id, op9_top_k, op10_ngram_join)}

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import faultline
 from faultline.session import new_table_path
@@ -43,7 +44,7 @@ def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.Record
         yield batch.slice(start, step)
 
 
-def arrow_stage(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
+def arrow_stage(df: DataFrame, make: Callable[[], Callable], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` whose function is built once per task and sees slices of bounded size.
 
     ``make()`` returns ``step(slice)``, which yields record batches; an optional

@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faultline.llm.common import arrow_stage, mix
 
@@ -161,8 +162,8 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
     """Per row: the id, ``lang_pred`` and ``score``, the corrected share of the text's n-grams in that language's filter."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    out = arrow_stage(rows, lambda: _predict(shared.value), f"id {kind}, lang_pred string, score double")
+    schema = T.StructType([rows.schema["id"]]).add("lang_pred", "string").add("score", "double")
+    out = arrow_stage(rows, lambda: _predict(shared.value), schema)
     return out.withColumnRenamed("id", id_col)
 
 

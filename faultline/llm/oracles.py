@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from faultline.llm.license_scan import KNOWN
+from faultline.llm.license_texts import RULES
 from faultline.llm.line_dedup import UPPER
 
 BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -40,5 +42,43 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def license_scan() -> str:
+    """Known sentences and rules as tables; each rule rewrites the identifiers left by the one before."""
+    known = ", ".join(f"('{text}', '{name}')" for text, name in KNOWN.items())
+    rules = ", ".join(f"({k}, '{name}', '|{'|'.join(parts)}|')" for k, (name, parts) in enumerate(RULES))
+    return f"""
+WITH RECURSIVE known(sentence, name) AS (VALUES {known}),
+rules(k, license, pattern) AS (VALUES {rules}),
+units AS (
+    SELECT doc_id, 0 AS kind, unnest(parts) AS unit, generate_subscripts(parts, 1) AS pos FROM (
+        SELECT doc_id, string_split_regex(text, '[.!?]+[' || {SPACE} || ']+|\n[' || {SPACE} || ']*\n') AS parts FROM documents)
+    UNION ALL
+    SELECT doc_id, 1, unnest(parts), generate_subscripts(parts, 1) FROM (
+        SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)
+), found AS (
+    SELECT doc_id, kind, name, pos FROM units
+    JOIN known ON trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')) = sentence
+), kept AS (
+    SELECT doc_id, kind, name, pos FROM found WHERE kind = 0
+    UNION ALL
+    SELECT doc_id, 1, name, min(pos) FROM found f WHERE kind = 1
+      AND NOT EXISTS (FROM found s WHERE s.doc_id = f.doc_id AND s.kind = 0 AND s.name = f.name) GROUP BY doc_id, name
+), start AS (
+    SELECT doc_id, string_agg(name, ' ' ORDER BY kind, pos) AS sentence_ids,
+           '|' || string_agg(name, '|' ORDER BY kind, pos) || '|' AS rest FROM kept GROUP BY doc_id
+), steps AS (
+    SELECT doc_id, 0 AS k, rest, CAST(NULL AS VARCHAR) AS license FROM start
+    UNION ALL
+    SELECT doc_id, s.k + 1, replace(rest, pattern, '|'), CASE WHEN contains(rest, pattern) THEN r.license END
+    FROM steps s JOIN rules r ON r.k = s.k
+)
+SELECT doc_id, coalesce(string_agg(DISTINCT license, ' ' ORDER BY license), '') AS licenses, any_value(sentence_ids) AS sentence_ids
+FROM steps JOIN start USING (doc_id) GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINE_DEDUP, "op9_top_k": TOP_K}
+    return {"op3_line_dedup": LINE_DEDUP, "op7_license_scan": license_scan(), "op9_top_k": TOP_K}

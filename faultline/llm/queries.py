@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe, context_tree, decontaminate, html_extract, language_id, line_dedup, ngram_join, voronoi, warc
+from faultline.llm import bpe, context_tree, decontaminate, html_extract, language_id, license_scan, line_dedup, ngram_join, voronoi, warc
 from faultline.llm.common import remainder, stored
 
 
@@ -66,6 +66,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.array_join("licenses", " ").alias("licenses"), F.array_join("sentence_ids", " ").alias("sentence_ids")
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = remainder(F.col("doc_id"), 5) == 0
@@ -88,4 +95,4 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_context_tree, op3_line_dedup, op4_decontaminate, op5_html, op6_warc, op8_language_id, op9_top_k, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_bpe, op2_context_tree, op3_line_dedup, op4_decontaminate, op5_html, op6_warc, op7_license_scan, op8_language_id, op9_top_k, op10_ngram_join)}

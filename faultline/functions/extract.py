@@ -118,8 +118,10 @@ def app_hosts(c: Column, domain: str | None = None) -> Column:
     return F.array_distinct(F.transform(F.concat(found, named), lambda h: F.lower(h)))
 
 
-def host_tag(c: Column, prefix: str) -> Column:
-    """First application host with the given prefix; case matters."""
+def host_tag(c: Column, prefix: str | None) -> Column:
+    """First application host with the given prefix, case matters; without a prefix there is no tag."""
+    if prefix is None:
+        return F.lit(None).cast("string")
     return first_match(c, rf"\b{prefix}[a-z]+app[0-9]+\b", 0)
 
 
@@ -127,9 +129,9 @@ def script_name(c: Column) -> Column:
     return first_match(c, P.SCRIPT_NAME)
 
 
-def warning_subject(c: Column, family: Column) -> Column:
+def warning_subject(c: Column, family: Column, length: int = P.WARNING_SUBJECT_LENGTH) -> Column:
     subject = first_match(c, P.WARNING_SUBJECT)
-    return F.when(family == "WARNING", F.substring(subject, 1, P.WARNING_SUBJECT_LENGTH))
+    return F.when(family == "WARNING", F.substring(subject, 1, length))
 
 
 def fms_class(c: Column) -> Column:

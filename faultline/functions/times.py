@@ -5,26 +5,68 @@ Everything is ``timestamp_ntz``, so no result depends on the session time zone.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
-from .text import first_match, lookup, rx
+from .text import first_match, lookup, rx, strip_ws
 
 # Largest day serial of the spreadsheet calendar (9999-12-31).
 _MAX_SERIAL = 2958465
 
 
-def parse_opened(c: Column) -> Column:
-    """Opening time from text: day serials since 1899-12-30, else ISO-like text.
+_FORMAT_PARTS = {
+    "yyyy": r"(\d{4})", "MMM": r"(\p{L}{3})", "MM": r"(\d{1,2})", "dd": r"(\d{1,2})", "HH": r"(\d{1,2})", "mm": r"(\d{2})", "ss": r"(\d{2})",
+}
+
+
+def parse_format(c: Column, fmt: str) -> Column:
+    """Time from text of exactly this form; ``yyyy MMM MM dd HH mm ss`` are its fields, absent ones 1 or 0.
+
+    Day and month may have one digit; month names are English abbreviations.
+    Anything else, or a date that does not exist, gives NULL.
+    """
+    pieces = re.split(f"({'|'.join(_FORMAT_PARTS)})", fmt)
+    names = [x for x in pieces if x in _FORMAT_PARTS]
+    pattern = "^" + "".join(_FORMAT_PARTS.get(x, re.escape(x)) for x in pieces) + r"\z"
+    text = strip_ws(c)
+
+    def part(name: str, default: str, size: int = 2) -> Column:
+        if name not in names:
+            return F.lit(default)
+        return F.lpad(F.regexp_extract(text, pattern, names.index(name) + 1), size, "0")
+
+    months = {name: f"{i:02d}" for i, name in enumerate(P.MONTH_ABBREVIATIONS, start=1)}
+    named = "MMM" in names
+    month = lookup(F.lower(part("MMM", "", 3)), months) if named else part("MM", "01")
+    date = F.concat_ws("-", part("yyyy", "1970", 4), F.coalesce(month, F.lit("00")), part("dd", "01"))
+    iso = F.concat(date, F.lit("T"), F.concat_ws(":", part("HH", "00"), part("mm", "00"), part("ss", "00")))
+    return F.when(text.rlike(pattern), iso.try_cast("timestamp_ntz"))
+
+
+def parse_opened(c: Column, formats: Sequence[str] = ()) -> Column:
+    """Opening time from text: day serials since 1899-12-30, ISO-like text, else the first of ``formats`` that fits.
 
-    The fraction of a serial is the time of day. Unparseable text gives NULL.
+    Whether ``01/02/2024`` is in January or February is the caller's choice of
+    formats. The fraction of a serial is the time of day. Other text gives NULL.
     """
     days = c.try_cast("double")
     micros = F.round(days * F.lit(86400000000.0)).try_cast("bigint")
     origin = F.lit(P.SERIAL_DAY_ORIGIN).cast("timestamp_ntz")
     from_serial = F.when(F.abs(days) <= _MAX_SERIAL, F.timestamp_add("MICROSECOND", micros, origin))
-    return F.when(c.rlike(rx(P.SERIAL_DAYS)), from_serial).otherwise(c.try_cast("timestamp_ntz"))
+    forms = [c.try_cast("timestamp_ntz"), *(parse_format(c, f) for f in formats)]
+    return F.when(c.rlike(rx(P.SERIAL_DAYS)), from_serial).otherwise(F.coalesce(*forms))
+
+
+def opened_time(df: DataFrame, opened: str = "opened", formats: Sequence[str] = ()) -> Column:
+    """The opening time of a time column, or of text (see :func:`parse_opened`)."""
+    c = F.col(opened)
+    if dict(df.dtypes)[opened].startswith(("timestamp", "date")):
+        return c.cast("timestamp_ntz")
+    return parse_opened(c.cast("string"), formats)
 
 
 def month(ts: Column) -> Column:

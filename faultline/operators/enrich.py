@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import extract as X
-from ..functions.times import add_time_grains, parse_opened
+from ..functions.times import add_time_grains, opened_time
 from ..sources.readers import CI_HEADINGS
 from ..sources.schema import normalize_schema, trim_strings
 from .fields import extract_fields
@@ -15,18 +17,26 @@ from .recurrence import add_recurrence
 CI_ATTRIBUTES = tuple(h.lower() for h in CI_HEADINGS[1:])
 
 
-def with_opened_dt(df: DataFrame, opened: str = "opened") -> DataFrame:
-    """Append ``opened_dt``; rows whose opening time cannot be read are dropped."""
-    dtype = dict(df.dtypes)[opened]
-    c = F.col(opened)
-    parsed = c.cast("timestamp_ntz") if dtype.startswith(("timestamp", "date")) else parse_opened(c.cast("string"))
-    return df.withColumn("opened_dt", parsed).where(F.col("opened_dt").isNotNull())
+def with_opened_dt(df: DataFrame, opened: str = "opened", formats: Sequence[str] = ()) -> DataFrame:
+    """Append ``opened_dt``; rows whose opening time cannot be read are dropped (count them with :func:`unread_opened`)."""
+    return df.withColumn("opened_dt", opened_time(df, opened, formats)).where(F.col("opened_dt").isNotNull())
+
+
+def unread_opened(df: DataFrame, opened: str = "opened", formats: Sequence[str] = ()) -> DataFrame:
+    """One row: ``rows``, and ``unread`` and ``missing`` ones that :func:`with_opened_dt` drops."""
+    unread = opened_time(df, opened, formats).isNull()
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(unread & F.col(opened).isNotNull()).alias("unread"),
+        F.count_if(F.col(opened).isNull()).alias("missing"),
+    )
 
 
 def last_per_ci(lookup: DataFrame) -> DataFrame:
-    """One row per CI; of duplicates the last line wins (by ``line_no`` when present)."""
-    order = "line_no" if "line_no" in lookup.columns else "ci_role"
-    record = F.struct(F.col(order).alias("_order"), *CI_ATTRIBUTES)
+    """One row per CI; of duplicates the last line wins, so ``line_no`` must be there."""
+    if "line_no" not in lookup.columns:
+        raise ValueError("the ci lookup needs line_no: of duplicate keys the last line wins")
+    record = F.struct(F.col("line_no").alias("_order"), *CI_ATTRIBUTES)
     return (
         lookup.where(F.col("ci").isNotNull())
         .groupBy("ci")
@@ -59,11 +69,15 @@ def add_closure_notes(df: DataFrame) -> DataFrame:
 
 
 def enrich_rows(
-    df: DataFrame, text_col: str = "description", profile: str = "v1", opened: str = "opened"
+    df: DataFrame,
+    text_col: str = "description",
+    profile: str = "v1",
+    opened: str = "opened",
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """The row-local part of :func:`enrich`: no join, no window, no shuffle."""
     out = trim_strings(normalize_schema(df))
-    out = add_time_grains(with_opened_dt(out, opened), "opened_dt")
+    out = add_time_grains(with_opened_dt(out, opened, formats), "opened_dt")
     out = out.withColumn("status_canonical", X.canonical_status(F.col("status")))
     return add_closure_notes(extract_fields(out, text_col, profile))
 
@@ -74,13 +88,10 @@ def enrich(
     text_col: str = "description",
     profile: str = "v1",
     opened: str = "opened",
+    formats: Sequence[str] = (),
 ) -> DataFrame:
-    """Full enrichment of an incident table.
-
-    The row-local part and the CI join are written once to the shared folder
-    (see :func:`~faultline.operators.recurrence.add_recurrence`).
-    """
-    out = enrich_rows(df, text_col, profile, opened)
+    """Full enrichment of an incident table: one scan, nothing written, only the columns used later are shuffled."""
+    out = enrich_rows(df, text_col, profile, opened, formats)
     if ci_lookup is None:
         out = out.withColumn("ci", F.col("configuration_item")).withColumns(
             {a: F.lit(None).cast("string") for a in CI_ATTRIBUTES}

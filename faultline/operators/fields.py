@@ -9,10 +9,6 @@ from ..functions import extract as X
 from ..functions import families, times
 from ..functions.text import join_list, join_or_null, pool_text, prefer_text, text_or_empty
 
-# Fixture-independent defaults of the site-specific patterns.
-HOST_TAG_PREFIX = "abc"
-HOST_DOMAIN = "example.net"
-
 KEPT_COLUMNS = ("number", "short_description", "caller", "status", "severity", "assignment_group", "opened")
 HELPER_TYPES = {
     "error_family": "string",
@@ -64,7 +60,7 @@ def extract_fields(
     text_col: str,
     profile: str = "v2",
     raw_chain: bool = False,
-    host_prefix: str = HOST_TAG_PREFIX,
+    host_prefix: str | None = None,
 ) -> DataFrame:
     """Append the fields found in ``text_col``; same-named columns are replaced.
 
@@ -101,7 +97,7 @@ def extract_fields(
     return matched.withColumns(fields).drop(*temporary)
 
 
-def shortdesc_extract(df: DataFrame, raw_chain: bool = False, host_prefix: str = HOST_TAG_PREFIX) -> DataFrame:
+def shortdesc_extract(df: DataFrame, raw_chain: bool = False, host_prefix: str | None = None) -> DataFrame:
     """Kept source columns present in ``df``, the v2 fields, and the caller class."""
     caller = X.caller_class(F.col("caller")) if "caller" in df.columns else F.lit("Other")
     kept = [c for c in KEPT_COLUMNS if c in df.columns]
@@ -117,6 +113,12 @@ def shortdesc_extract(df: DataFrame, raw_chain: bool = False, host_prefix: str =
     return out.select(*kept, *added)
 
 
+def _given(c: Column, dtype: str) -> Column:
+    """An existing helper value as its type; whole numbers also when written ``3.0``, other text is NULL."""
+    text = c.cast("string")
+    return text.try_cast("double").try_cast(dtype) if dtype == "bigint" else text.try_cast(dtype)
+
+
 def ensure_helpers(df: DataFrame, derive: bool = True, text_col: str | None = "short_description") -> DataFrame:
     """Make the helper columns present.
 
@@ -138,7 +140,7 @@ def ensure_helpers(df: DataFrame, derive: bool = True, text_col: str | None = "s
     out = extract_fields(df.withColumnsRenamed(existing), text_col, "v2")
     out = out.withColumns(
         {
-            c: F.coalesce(F.col(given).cast(HELPER_TYPES.get(c, "string")), F.col(c))
+            c: F.coalesce(_given(F.col(given), HELPER_TYPES.get(c, "string")), F.col(c))
             for c, given in existing.items()
         }
     )
@@ -166,7 +168,7 @@ def extract_features(
     profile: str = "v3",
     allow_non_abs: bool = False,
     append_only: bool = False,
-    domain: str | None = HOST_DOMAIN,
+    domain: str | None = None,
 ) -> DataFrame:
     """Append the feature columns of profile ``v3`` or ``v4``; ``append_only`` returns just them.
 

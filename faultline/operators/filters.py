@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.extract import basename
 from ..functions.text import strip_ws
+from ..functions.times import opened_time
+from ..session import ship_package
 from .common import with_lists_exploded
 
 INCIDENT_TEXT = ("short_description", "paths", "error_codes", "resolution_notes")
@@ -144,21 +148,22 @@ def top_paths(paths: DataFrame, n: int = 30) -> DataFrame:
     return paths.orderBy(F.col("incident_count").desc(), "path").limit(n)
 
 
-def preview(df: DataFrame, order: Sequence[str] = ("opened", "number"), n: int = PREVIEW_LIMIT) -> DataFrame:
-    """First ``n`` rows in a fixed order.
+def preview(
+    df: DataFrame, opened: str = "opened", then: Sequence[str] = ("number",), n: int = PREVIEW_LIMIT
+) -> DataFrame:
+    """First ``n`` rows by opening time, then by the columns ``then``.
 
-    A plain top-``n`` would send ``n`` rows of every task to one. When the order
-    starts with a time, rows are counted per day first and only the days that
-    hold the first ``n`` rows are sorted.
+    A plain top-``n`` would send ``n`` rows of every task to one. So rows are counted
+    per day of the opening time as read, and only the days that hold the first
+    ``n`` rows are sorted; rows whose time cannot be read come last.
     """
-    first = F.col(order[0])
-    if dict(df.dtypes)[order[0]].startswith(("timestamp", "date")):
-        days = df.groupBy(first.cast("date").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
-        so_far = F.sum("rows").over(W.orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow))
-        enough = days.withColumn("so_far", so_far).where(F.col("so_far") >= n)
-        last_day = enough.agg(F.min("day")).scalar()
-        df = df.where(first.isNull() | last_day.isNull() | (first.cast("date") <= last_day))
-    return df.orderBy(*order).limit(n)
+    first = opened_time(df, opened)
+    days = df.groupBy(first.cast("date").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    so_far = F.sum("rows").over(W.orderBy(F.col("day").asc_nulls_last()).rowsBetween(W.unboundedPreceding, W.currentRow))
+    enough = days.withColumn("so_far", so_far).where((F.col("so_far") >= n) & F.col("day").isNotNull())
+    last_day = enough.agg(F.min("day")).scalar()
+    df = df.where(last_day.isNull() | (first.cast("date") <= last_day))
+    return df.orderBy(first.asc_nulls_last(), *then).limit(n)
 
 
 def drill_through(df: DataFrame, path: str) -> DataFrame:
@@ -172,73 +177,56 @@ def drill_through(df: DataFrame, path: str) -> DataFrame:
     return df.where(hit)
 
 
-# Where an absolute path can begin, and how far it can go from there: Unix path
-# characters after a slash, anything up to a delimiter after a drive or a share.
-_PATH_START = r"(?s)(?=((?:/|[a-z]:\\|\\\\).*))"
-_PATH_RUN = r"(?U)^(?:/[-a-z0-9_./]*|[a-z]:\\[^\s:;,)]*|\\\\[^\s:;,)]*)"
-_ANY_START = r"(?s)(?=(.+))"
-_LINE_RUN = r"^[^\n]*"
-
-
-def _path_key(path: Column, any_text: bool) -> Column:
-    """Lower-cased path; an error for one the path runs cannot contain."""
-    key = F.lower(path)
-    if any_text:
-        return key
-    message = F.concat(F.lit("not an absolute path, use any_text=True: "), path)
-    return F.when(key.isNull() | key.rlike(_PATH_RUN + r"\z"), key).otherwise(F.raise_error(message))
+# Text of the paths searched for at once; a fixed amount, whatever the size of the table.
+BLOCK_CHARS = 8 << 20
 
 
-# Path tables up to this many bytes of text are broadcast to drop useless offers early.
-BROADCAST_BYTES = 64 << 20
-
-
-def drill_through_all(
-    df: DataFrame, paths: DataFrame, any_text: bool = False, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def drill_through_all(df: DataFrame, paths: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``path, matching_incidents`` for every path of a path table.
 
-    Same test as :func:`drill_through` for all paths at once, without comparing
-    each path with each incident. A path that occurs in a text is a prefix of the
-    run that starts where it occurs, so an incident offers every prefix of its
-    runs, once (at its first place in the text), and offers meet paths in an
-    equi-join. Offers are counted map-side before the shuffle, so a prefix found
-    in every incident arrives as one row per task.
-
-    Runs start where an absolute path can start and hold the characters one can
-    have. ``any_text`` lets them start anywhere and go to the end of the line,
-    for tables with other entries; it costs far more.
-
-    The path table's size is measured first (write the table before calling). Up
-    to ``broadcast_bytes`` of text, offers that are no path are dropped before
-    they are counted; beyond that all offers are counted and the join sorts them
-    out. Both give the same result.
+    Same test as :func:`drill_through`, right for any path. The path table is taken
+    in blocks of bounded size. All paths of a block are sought in one pass over a
+    text, in time and memory linear in the text; a task sums its incidents per path
+    before anything is shuffled.
     """
-    starts, run = (_ANY_START, _LINE_RUN) if any_text else (_PATH_START, _PATH_RUN)
-    pooled = F.lower(F.concat_ws("\n", *[F.col(c) for c in DRILL_TEXT if c in df.columns]))
-    tails = F.regexp_extract_all("text", F.lit(starts), F.lit(1))
-    offers = (
-        df.select(pooled.alias("text"))
-        .select("text", F.explode_outer(tails).alias("tail"))
-        .select(
-            "text",
-            (F.length("text") - F.length("tail") + 1).alias("start"),
-            F.length(F.regexp_extract("tail", run, 0)).alias("run_length"),
-        )
-        .where(F.col("run_length") > 0)
-        .select("text", "start", F.explode(F.sequence(F.lit(1), F.col("run_length"))).alias("len"))
-        .select("text", "start", F.substring("text", F.col("start"), F.col("len")).alias("offer"))
-    )
-    keyed = paths.select("path", _path_key(F.col("path"), any_text).alias("offer"))
-    size = keyed.agg(F.coalesce(F.sum(F.octet_length("offer") + 64), F.lit(0))).first()[0]
-    if size <= broadcast_bytes:
-        offers = offers.join(F.broadcast(keyed.select("offer").distinct()), "offer", "left_semi")
-    # Tested inside the aggregate: as a filter it would run before the semi join,
-    # on every offer.
-    first_place = F.instr(F.col("text"), F.col("offer")) == F.col("start")
-    counted = offers.groupBy("offer").agg(F.sum(first_place.cast("bigint")).alias("n"))
+    spark = df.sparkSession
+    ship_package(spark)
+    cells = [F.lower(F.col(c)).alias(c) for c in DRILL_TEXT if c in df.columns]
+    keyed = paths.select("path", F.lower("path").alias("key"))
+    sought = keyed.where("key <> ''").select("key").distinct()
+    chars = sought.agg(F.coalesce(F.sum(F.length("key")), F.lit(0))).first()[0]
+    blocks = int(chars) // block_chars + 1
+    counted = spark.createDataFrame([], "key string, n long")
+    for k in range(blocks if cells else 0):
+        keys = [r[0] for r in sought.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k).collect()]
+        if keys:
+            found = df.select(*cells).mapInArrow(_counter(spark.sparkContext.broadcast(keys)), "key string, n long")
+            counted = counted.unionByName(found)
+    counted = counted.groupBy("key").agg(F.sum("n").alias("n"))
     return (
-        keyed.join(counted, "offer", "left")
+        keyed.join(counted, "key", "left")
         .select("path", F.coalesce("n", F.lit(0)).alias("matching_incidents"))
         .orderBy(F.col("matching_incidents").desc(), "path")
     )
+
+
+def _counter(shared):
+    """Counts, per task, the rows in any of whose cells each key stands."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = shared.value
+        automaton = ahocorasick.Automaton()
+        for number, key in enumerate(keys):
+            automaton.add_word(key, number)
+        automaton.make_automaton()
+        totals = [0] * len(keys)
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                for number in {hit for cell in row if cell for _, hit in automaton.iter(cell)}:
+                    totals[number] += 1
+        found = [k for k, n in enumerate(totals) if n]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([keys[k] for k in found], pa.string()), pa.array([totals[k] for k in found], pa.int64())], ["key", "n"]
+        )
+
+    return count

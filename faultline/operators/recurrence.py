@@ -1,11 +1,10 @@
 """Recurrence: the previous incident of the same interface and error family.
 
 A plain ``lag`` over (interface, family) would sort each group in one task, and
-one group may hold a large share of all incidents. Here time is cut into
-one-hour slices. Incidents are first reduced, with map-side combine, to slices
-(for the pair totals) or to *instants*, the distinct opening times of a key (for
-the rows). The largest sort is then one hour of distinct times of one key, or
-one row per hour of one key.
+one group may hold a large share of all incidents. Here time is cut into slices:
+hours for the pair totals, which are reduced with map-side combine first, and ten
+minutes for the rows. The largest sort is then the incidents of one key in one
+slice, or one row per slice of one key.
 """
 
 from __future__ import annotations
@@ -14,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import written
-
 KEYS = ("primary_interface", "error_family")
+SLICE_MINUTES = 10
 
 
 def _gap_ok(later: Column, earlier: Column, hours: int) -> Column:
@@ -31,33 +29,10 @@ def _keyed(df: DataFrame, keys: tuple[str, ...], ts: str) -> Column:
     return present
 
 
-def _slice(ts: Column) -> Column:
-    """Number of the hour, counted from 1970-01-01."""
-    return F.unix_date(ts.cast("date")) * 24 + F.hour(ts)
-
-
-def _with_previous_instant(instants: DataFrame, keys: tuple[str, ...], ts: str, payload: str) -> DataFrame:
-    """Append ``prev_instant``: the latest earlier instant of the same key.
-
-    Inside a slice it is the preceding instant; the first instant of a slice
-    takes the last one of the nearest earlier slice. ``payload`` is carried
-    through the slice aggregate so that both uses of ``instants`` need the same
-    columns and Spark shuffles them once.
-    """
-    sliced = instants.withColumn("_slice", _slice(F.col(ts)))
-    inside = W.partitionBy(*keys, "_slice").orderBy(ts)
-    across = W.partitionBy(*keys).orderBy("_slice")
-    carry = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.max(F.struct(ts, payload)).alias("_last"))
-        .select(*keys, "_slice", F.lag("_last").over(across)[ts].alias("_carried"))
-    )
-    lagged = sliced.withColumn("_inside", F.lag(ts).over(inside))
-    return (
-        lagged.join(carry, [*keys, "_slice"], "left")
-        .withColumn("prev_instant", F.coalesce("_inside", "_carried"))
-        .drop("_slice", "_inside", "_carried")
-    )
+def _slice(ts: Column, minutes: int = 60) -> Column:
+    """Number of the stretch of ``minutes`` (a part of an hour), counted from 1970-01-01."""
+    hour = F.unix_date(ts.cast("date")).cast("long") * 24 + F.hour(ts)
+    return hour * (60 // minutes) + F.floor(F.minute(ts) / minutes)
 
 
 def add_recurrence(
@@ -66,7 +41,6 @@ def add_recurrence(
     keys: tuple[str, ...] = KEYS,
     order: str = "number",
     hours: int = 24,
-    row_id: str | None = None,
 ) -> DataFrame:
     """Append ``prev_time`` and ``recurs_24h``.
 
@@ -74,25 +48,29 @@ def add_recurrence(
     keys, in order of time then ``order``; NULL when a key is NULL or nothing
     precedes. ``recurs_24h`` is true when the gap is at most ``hours``.
 
-    Incidents of one instant follow each other with no gap; only the first of
-    them looks back to an earlier instant. Which one that is must not change
-    between the two reads of the table, also among copies of one ticket. So
-    ``row_id`` names a stored unique column; without one the table is written to
-    the shared folder with ids first, which also saves deriving it twice.
+    One scan, nothing written. Inside a slice an incident looks back to the one
+    before it. The first of a slice looks back to the *latest time* of the nearest
+    earlier slice, which no order among equal times can change; for that only one
+    row per slice and key meets in a group, the others stay by themselves.
     """
-    rows, rid = (df, row_id) if row_id is not None else (written(df, "recurrence-rows", "_row"), "_row")
-    instants = (
-        rows.where(_keyed(df, keys, ts))
-        .groupBy(*keys, ts)
-        .agg(F.min(F.struct(F.col(order).alias("o"), F.col(rid).alias("r")))["r"].alias("_first"))
-    )
-    ticks = _with_previous_instant(instants, keys, ts, "_first").withColumn("_hit", F.lit(True))
-    prev = F.when(
-        F.col("_hit"), F.when(F.col(rid) == F.col("_first"), F.col("prev_instant")).otherwise(F.col(ts))
+    keyed = _keyed(df, keys, ts)
+    # Rows without a key or time never look back; by themselves they are no hot group.
+    rows = df.withColumns({"_slice": F.when(keyed, _slice(F.col(ts), SLICE_MINUTES)), "_own": F.when(~keyed, F.xxhash64(order, ts))})
+    own_slice = W.partitionBy(*keys, "_slice", "_own")
+    ordered = own_slice.orderBy(ts, order)
+    inside = rows.withColumns(
+        {
+            "_inside": F.lag(ts).over(ordered),
+            "_first": F.row_number().over(ordered) == 1,
+            "_last": F.max(ts).over(own_slice),
+        }
     )
+    apart = F.when(~F.col("_first"), F.col("_slice"))
+    across = W.partitionBy(*keys, "_own", "_apart").orderBy("_slice")
+    linked = inside.withColumn("_apart", apart).withColumn("_carried", F.lag("_last").over(across))
+    prev = F.when(F.col("_slice").isNotNull(), F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")))
     return (
-        rows.join(ticks, [*keys, ts], "left")
-        .withColumn("prev_time", prev)
+        linked.withColumn("prev_time", prev)
         .withColumn("recurs_24h", F.coalesce(_gap_ok(F.col(ts), F.col("prev_time"), hours), F.lit(False)))
         .select(*df.columns, "prev_time", "recurs_24h")
     )

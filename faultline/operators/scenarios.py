@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import has_match, rx, strip_ws
+from ..functions.times import opened_time
 from .common import constant_table, with_lists_exploded
 
 
@@ -16,8 +17,8 @@ def _scenario_tests(text: Column) -> dict[str, Column]:
     for name, (label, pattern) in P.SCENARIO_RULES.items():
         # Either spelling of a label counts: tables written elsewhere may use "_".
         tests[name] = (F.translate(family, "_", "-") == label) | has_match(text, pattern, ignore_case=True)
-    count = F.coalesce(F.col("stuck_files_count").cast("double"), F.lit(0.0))
-    minutes = F.coalesce(F.col("stuck_for_minutes").cast("double"), F.lit(0.0))
+    count = F.coalesce(F.col("stuck_files_count").cast("string").try_cast("double"), F.lit(0.0))
+    minutes = F.coalesce(F.col("stuck_for_minutes").cast("string").try_cast("double"), F.lit(0.0))
     tests["stuck-files"] = tests["stuck-files"] | (count >= 1) | (minutes >= 1)
     code = F.coalesce(F.col("ftp_code").cast("string").rlike(rx(P.FTP_CODE_550)), F.lit(False))
     verb = F.coalesce(F.upper(F.col("ftp_command")).isin("PUT", "GET"), F.lit(False))
@@ -79,5 +80,8 @@ def partition_summary(tagged: DataFrame) -> DataFrame:
 
 
 def misc_samples(tagged: DataFrame, n: int = 200, order: tuple[str, ...] = ("opened", "number")) -> DataFrame:
-    """First ``n`` unmatched incidents in source order, for rule review."""
-    return scenario_tall(tagged).where(F.col("scenario") == "misc").drop("scenario").orderBy(*order).limit(n)
+    """First ``n`` unmatched incidents by opening time, then number, unread times last, for rule review."""
+    misc = scenario_tall(tagged).where(F.col("scenario") == "misc").drop("scenario")
+    first, *rest = order
+    keys = [opened_time(misc, first).asc_nulls_last(), *rest]
+    return misc.orderBy(*keys).limit(n)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import extract as X
 from ..functions import families
 from ..functions import patterns as P
+from ..functions.times import opened_time
 from ..functions.text import is_blank, pool_text, text_or_empty
 from ..sources.schema import null_fill
 from .common import with_lists_exploded
@@ -68,20 +69,20 @@ def path_scan_stats(with_paths: DataFrame) -> DataFrame:
 
 
 def path_dedup(with_paths: DataFrame, order: str = "opened") -> DataFrame:
-    """First row per (incident, path), by opening time.
+    """First row per (incident, path), by opening time as read, unread ones last.
 
     An aggregate with map-side combine, not a window: any number of copies of a
     pair shrink to one row before the shuffle. Copies at one time are told apart
     by their values.
     """
     context = ("configuration_item", "error_family", "primary_interface")
-    order_by = F.col(order) if order in with_paths.columns else F.lit(None).cast("string")
+    order_by = opened_time(with_paths, order) if order in with_paths.columns else F.lit(None).cast("timestamp_ntz")
     pairs = with_lists_exploded(
         with_paths.select("number", order_by.alias("_order"), *context, "path_list"), "path_list", "path"
     )
     return (
         pairs.groupBy("number", "path")
-        .agg(F.min(F.struct("_order", *context)).alias("_first"))
+        .agg(F.min(F.struct(F.col("_order").isNull().alias("_unread"), "_order", *context)).alias("_first"))
         .select("number", "path", *[F.col(f"_first.{c}").alias(c) for c in context])
     )
 

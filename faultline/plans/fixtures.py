@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import spread_small_scan
-
 INCIDENTS_SQL = """
 SELECT
   'INC' || lpad(CAST(event_id AS STRING), 7, '0') AS number,
@@ -77,7 +75,7 @@ FROM {nation}
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["event_id", "ts", "user_id", "event_type"]
-    events = spread_small_scan(spark.read.parquet(f"{sf_dir}/events.parquet").select(*columns))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(*columns)
     return spark.sql(INCIDENTS_SQL, events=events)
 
 

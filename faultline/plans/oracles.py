@@ -484,7 +484,8 @@ def oracle_sql() -> dict[str, str]:
   CASE WHEN source_sheet <> 'sheet0' THEN comments END AS comments, source_sheet FROM incidents""", "incidents")
     sql["per_sheet_rollup"] = _with(
         "SELECT source_sheet, fam3 AS error_family, count(*) AS count FROM f3 WHERE fam3 <> '' GROUP BY 1, 2", "f3")
-    sql["lexicon_load"] = _with("SELECT DISTINCT category AS family FROM incidents", "incidents")
+    sql["lexicon_load"] = _with(
+        "SELECT row_number() OVER (ORDER BY category DESC) - 1 AS position, category AS family FROM (SELECT DISTINCT category FROM incidents)", "incidents")
     sql["ci_lookup_scan"] = _with("SELECT * FROM lookup", "lookup")
     sql["read_group"] = _with(
         f"""SELECT number, {_RUN} AS run_id, scenario FROM tall
@@ -602,6 +603,11 @@ FROM (SELECT number, {_SD} AS sd, {alias.format('s')} AS fam FROM incidents LEFT
     sql["closure_quality"] = _rows(f"contains({_NOTES}, 'intermittent') AS is_intermittent, {_SCORE} AS closure_quality_score")
     sql["perm_conn_flags"] = _with("SELECT number, permission_denied, not_connected FROM v2", "v2")
     # time
+    sql["opened_formats"] = _rows(
+        """CAST(date_trunc('minute', opened) AS VARCHAR) AS form_0, CAST(date_trunc('minute', opened) AS VARCHAR) AS form_1,
+  CAST(date_trunc('minute', opened) AS VARCHAR) AS form_2, CAST(CAST(date_trunc('day', opened) AS TIMESTAMP) AS VARCHAR) AS form_3""")
+    sql["opened_unread"] = _with(
+        "SELECT count(*) AS rows, count(*) FILTER (WHERE opened_raw = 'not a date') AS unread, CAST(0 AS BIGINT) AS missing FROM incidents", "incidents")
     sql["opened_parse"] = _rows(f"CAST({_OPENED} AS VARCHAR) AS opened_dt")
     sql["time_grains"] = _with("SELECT number, month, week, dow, hour, daypart FROM enr", "enr")
     # filters

@@ -11,7 +11,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import extract as X
 from ..functions import families, times
@@ -64,10 +63,15 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.enrich(incidents(spark, sf_dir), ci_lookup(spark, sf_dir), opened="opened_raw")
 
 
+# Site values of the test projection.
+HOST_PREFIX = "abc"
+HOST_DOMAIN = "example.net"
+
+
 def helped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incidents with v2 helpers, host tag and time grains (all rows kept)."""
     df = incidents(spark, sf_dir)
-    out = fields.ensure_helpers(df).withColumn("host_tag", X.host_tag(sd(), fields.HOST_TAG_PREFIX))
+    out = fields.ensure_helpers(df).withColumn("host_tag", X.host_tag(sd(), HOST_PREFIX))
     return times.add_time_grains(out.withColumn("opened_dt", times.parse_opened(F.col("opened_raw"))))
 
 
@@ -108,10 +112,16 @@ def over(source: Query, fn: Callable[[DataFrame], DataFrame]) -> Query:
 
 @query("scan_csv")
 def _(spark, sf_dir):
+    """Two folders of parts with other headings, order and columns, read as one by heading."""
     columns = ["number", "opened_raw", "caller", "short_description", "description", "resolution_notes"]
     path = new_table_path(spark, "incidents-csv")
-    sinks.write_table(incidents(spark, sf_dir).select(*columns), path, "csv")
-    return readers.read_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    df = incidents(spark, sf_dir)
+    even = F.substring("number", -1, 1).cast("int") % 2 == 0
+    headings = {"short_description": "Short description", "caller": " CALLER ", "resolution_notes": "Resolution Notes"}
+    sinks.write_table(df.where(even).select(*columns, "status"), f"{path}/a", "csv")
+    other = df.where(~even).select(*reversed(columns)).withColumnsRenamed(headings)
+    sinks.write_table(other, f"{path}/b", "csv")
+    return readers.read_incidents(spark, f"{path}/*", fmt="csv").select(*columns)
 
 
 @query("sheet_select")
@@ -144,16 +154,26 @@ def _(spark, sf_dir):
         F.explode(F.array(F.concat(F.lit("  "), F.col("category"), F.lit("\t")), F.lit("  "))).alias("value")
     )
     path = new_table_path(spark, "lexicon")
-    names.write.text(path)
-    return readers.read_lexicon(spark, path).select("family")
+    names.distinct().orderBy(F.col("value").desc()).coalesce(1).write.text(path)
+    lexicon = readers.lexicon_names(readers.read_lexicon(spark, path))
+    rows = [(k, name) for k, name in enumerate(lexicon)]
+    return spark.createDataFrame(rows, "position long, family string")
 
 
 @query("ci_lookup_scan")
 def _(spark, sf_dir):
     path = new_table_path(spark, "ci-lookup")
     titled = ci_lookup(spark, sf_dir).select(*[F.col(h.lower()).alias(h) for h in readers.CI_HEADINGS])
-    sinks.write_table(titled, path, "csv")
-    return readers.read_ci_lookup(spark, path).drop("line_no")
+    # Two files, the older with other values for each CI: the later file's lines win.
+    older = titled.withColumn("CI_role", F.lit("old"))
+    sinks.write_table(older.unionByName(older).coalesce(1), f"{path}/a", "csv")
+    sinks.write_table(titled.coalesce(1), f"{path}/b", "csv")
+    first, last = (spark.read.text(f"{path}/{x}").inputFiles()[0] for x in "ab")
+    jvm = spark.sparkContext._jvm
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, file in (("1.csv", first), ("2.csv", last)):
+        files.rename(jvm.org.apache.hadoop.fs.Path(file), jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
+    return E.last_per_ci(readers.read_ci_lookup(spark, f"{path}/*.csv"))
 
 
 @query("read_group")
@@ -172,10 +192,10 @@ query("summary_read")(lambda spark, sf_dir: readers.read_summary(scenarios.parti
 
 @query("unique_paths_read")
 def _(spark, sf_dir):
-    path = new_table_path(spark, "unique-paths") + ".csv"
+    path = new_table_path(spark, "unique-paths")
     table = path_table(spark, sf_dir).select(*[f.name for f in readers.UNIQUE_PATHS_SCHEMA])
     sinks.write_table(table, path, "csv")
-    return readers.read_unique_paths(spark, path)
+    return readers.read_unique_paths(spark, path, fmt="csv")
 
 
 @query("sink_roundtrip")
@@ -189,8 +209,11 @@ def _(spark, sf_dir):
 
 @query("scenario_sink")
 def _(spark, sf_dir):
+    """A run written twice; the first time it had more rows, of which nothing may stay."""
     path = new_table_path(spark, "run")
-    sinks.write_run(runs(spark, sf_dir), path)
+    whole = runs(spark, sf_dir)
+    sinks.write_run(whole.unionByName(whole.withColumn("scenario", F.lit("gone"))), path)
+    sinks.write_run(whole, path)
     return spark.read.parquet(path).groupBy("run_id", "scenario").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -222,15 +245,15 @@ query("trim_strings")(
     over(incidents, lambda df: schema.trim_strings(df).select("number", "status", "short_description", "caller"))
 )
 query("shortdesc_extract")(
-    over(incidents, lambda df: fields.shortdesc_extract(df, raw_chain=True).withColumn("opened", F.col("opened").cast("string")))
+    over(incidents, lambda df: fields.shortdesc_extract(df, raw_chain=True, host_prefix=HOST_PREFIX).withColumn("opened", F.col("opened").cast("string")))
 )
 query("desc_features")(
     over(
         incidents,
-        lambda df: fields.extract_features(df, "v3").select("number", *fields.FEATURE_COLUMNS),
+        lambda df: fields.extract_features(df, "v3", domain=HOST_DOMAIN).select("number", *fields.FEATURE_COLUMNS),
     )
 )
-query("desc_features_only")(over(incidents, lambda df: fields.extract_features(df, "v3", append_only=True)))
+query("desc_features_only")(over(incidents, lambda df: fields.extract_features(df, "v3", append_only=True, domain=HOST_DOMAIN)))
 query("shortdesc_features")(
     over(
         incidents,
@@ -387,10 +410,10 @@ def _(spark, sf_dir):
 
 query("hosts")(
     per_row(lambda: [
-        join_list(X.app_hosts(_v4_text(), fields.HOST_DOMAIN)).alias("hosts_v3"),
+        join_list(X.app_hosts(_v4_text(), HOST_DOMAIN)).alias("hosts_v3"),
         join_list(X.app_hosts(_v4_text())).alias("hosts_v4"),])
 )
-query("host_tag")(per_row(lambda: [X.host_tag(sd(), fields.HOST_TAG_PREFIX).alias("host_tag")]))
+query("host_tag")(per_row(lambda: [X.host_tag(sd(), HOST_PREFIX).alias("host_tag")]))
 query("script_name")(per_row(lambda: [X.script_name(sd()).alias("script_name")]))
 query("warning_subject")(per_row(lambda: [X.warning_subject(sd(), families.fixed_family(sd(), "v2")).alias("warning_subject")]))
 query("fms_class")(per_row(lambda: [X.fms_class(desc()).alias("fms_err_class")]))
@@ -431,6 +454,17 @@ query("perm_conn_flags")(
 
 # --- time --------------------------------------------------------------------
 
+FORMATS = ("dd/MM/yyyy HH:mm", "MM/dd/yyyy HH:mm", "dd-MMM-yyyy HH:mm", "yyyy/MM/dd")
+
+
+def _in_formats() -> list[Column]:
+    """The opening time written in each format, read back with that format."""
+    written = [F.date_format("opened", f) for f in FORMATS]
+    return [times.parse_opened(c, [f]).cast("string").alias(f"form_{k}") for k, (c, f) in enumerate(zip(written, FORMATS, strict=True))]
+
+
+query("opened_formats")(per_row(_in_formats))
+query("opened_unread")(over(incidents, lambda df: E.unread_opened(df, "opened_raw")))
 query("opened_parse")(per_row(lambda: [times.parse_opened(F.col("opened_raw")).cast("string").alias("opened_dt")]))
 query("time_grains")(
     over(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Spark defaults that suit these workloads; a cluster's own settings win when
 # the session already exists.
@@ -30,6 +33,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     builder = SparkSession.builder.master(f"local[{cores}]").appName("faultline")
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
+    if str(cores).isdigit():
+        # Extraction costs far more than reading: a small file is still cut into a task per core.
+        builder = builder.config("spark.sql.files.minPartitionNum", str(cores)).config("spark.sql.files.openCostInBytes", "0")
+        builder = builder.config("spark.sql.files.maxPartitionBytes", "1m")
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
@@ -52,30 +59,53 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    """Fresh path for a written table inside the shared folder."""
-    return f"{shared_folder(spark)}/faultline/{name}-{uuid.uuid4().hex}"
+    """Fresh path for a written table inside the shared folder, removed when the program ends."""
+    path = f"{shared_folder(spark)}/faultline/{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(remove_scratch, spark)
+    _scratch.append(path)
+    return path
 
 
-def written(df: DataFrame, name: str, row_id: str | None = None) -> DataFrame:
+_scratch: list[str] = []
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the tables written to fresh paths so far, wherever the file system is; needs a running context."""
+    context = spark.sparkContext
+    if getattr(context, "_jsc", None) is None:
+        spark = SparkSession.getActiveSession()
+        if spark is None:
+            return
+        context = spark.sparkContext
+    jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+    while _scratch:
+        place = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        place.getFileSystem(conf).delete(place, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table written to the shared folder and read back.
 
     Cuts the lineage, so what follows survives lost executors without repeating
-    the work before it, and reads only the columns it needs. ``row_id`` adds a
-    unique id per row, stable because it is stored. The files are the caller's to
-    remove once the result has been used.
+    the work before it, and reads only the columns it needs.
     """
-    if row_id is not None:
-        df = df.withColumn(row_id, F.monotonically_increasing_id())
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer tasks than cores over all cores.
-
-    Text extraction costs far more than reading, and a small file is one task.
-    A table of any size has tasks enough and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per context, so it need not be installed on them."""
+    context = spark.sparkContext
+    if getattr(context, "_faultline_shipped", False):
+        return
+    root = Path(__file__).parent
+    folder = tempfile.mkdtemp(prefix="faultline-")  # the driver serves the file from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "faultline.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for file in sorted(root.rglob("*.py")):
+            packed.write(file, file.relative_to(root.parent))
+    context.addPyFile(path)
+    context._faultline_shipped = True

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..functions.text import strip_ws
-from .schema import INCIDENT_SCHEMA, find_column
+from .schema import find_column, resolve_columns
 
 CI_HEADINGS = ("CI", "CI_role", "CI_protocol", "CI_env", "CI_techstack", "CI_criticality")
 CI_SCHEMA = T.StructType([T.StructField(h.lower(), T.StringType()) for h in CI_HEADINGS])
@@ -44,15 +44,55 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     return spark.read.schema(schema).options(**options).csv(path)
 
 
+def read_csv_by_heading(
+    spark: SparkSession, path: str, multi_line: bool = True, headings: str = "each"
+) -> DataFrame:
+    """CSV whose columns go by the headings written in the files, all as text; nothing is scanned to infer types.
+
+    ``headings="each"`` reads the heading of every file (a look at its first line
+    each) and puts files with different columns or order together by our names,
+    absent ones as NULL. ``"first"`` takes the first file's for all, and Spark fails
+    where another file's differ.
+    """
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "enforceSchema": "false"}
+    files = sorted(spark.read.text(path).inputFiles())
+    if headings == "first":
+        names = spark.read.options(**options).csv(files[0]).columns
+        return resolve_columns(spark.read.schema(_text_schema(names)).options(**options).csv(path))
+    if headings != "each":
+        raise ValueError(f"headings must be 'each' or 'first', not {headings!r}")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        groups.setdefault(tuple(spark.read.options(**options).csv(file).columns), []).append(file)
+    out: DataFrame | None = None
+    for names, members in groups.items():
+        if names:
+            part = resolve_columns(spark.read.schema(_text_schema(names)).options(**options).csv(members))
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no headings in {path}")
+    return out
+
+
+def _text_schema(names) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def read_incidents(
     spark: SparkSession,
     path: str,
     sheet: str | int | None = None,
-    schema: T.StructType = INCIDENT_SCHEMA,
+    fmt: str = "parquet",
     multi_line: bool = True,
+    headings: str = "each",
 ) -> DataFrame:
-    """Incident table from CSV (by suffix) or Parquet, optionally one sheet of it."""
-    df = read_csv(spark, path, schema, multi_line) if path.endswith(".csv") else spark.read.parquet(path)
+    """Incident table from ``parquet`` or ``csv``, a file or a folder of parts, optionally one sheet of it."""
+    if fmt == "csv":
+        df = read_csv_by_heading(spark, path, multi_line, headings)
+    elif fmt == "parquet":
+        df = spark.read.parquet(path)
+    else:
+        raise ValueError(f"unknown format {fmt!r}")
     return df if sheet is None else select_sheet(df, sheet)
 
 
@@ -61,14 +101,18 @@ def _sheet_names(df: DataFrame) -> list[str]:
     return [r[0] for r in df.select("source_sheet").distinct().orderBy("source_sheet").collect()]
 
 
-def select_sheet(df: DataFrame, sheet: str | int | None = None, strict: bool = True) -> DataFrame:
+def select_sheet(
+    df: DataFrame, sheet: str | int | None = None, strict: bool = True, sheets: Sequence[str] | None = None
+) -> DataFrame:
     """Rows of one sheet.
 
     ``strict``: first by default (also ``''``, ``first``, ``0``), by index, or by
     name, ``ValueError`` for an unknown one. Otherwise: the named sheet if it
-    exists, else ``data``, else the first.
+    exists, else ``data``, else the first. ``sheets`` gives the workbook's order and
+    saves looking for the names; a table keeps none, so without it they count in
+    alphabetical order.
     """
-    names = _sheet_names(df)
+    names = list(sheets) if sheets is not None else _sheet_names(df)
     if not names:
         return df
     if not strict:
@@ -98,36 +142,46 @@ def union_sheets(sheets: Mapping[str, DataFrame], tag: bool = True) -> DataFrame
     return out
 
 
-def normalize_ci_lookup(df: DataFrame) -> DataFrame:
-    """Check the lookup's columns and give them our names."""
+def normalize_ci_lookup(df: DataFrame, *kept: str) -> DataFrame:
+    """Check the lookup's columns and give them our names; columns ``kept`` stay."""
     found = {h: find_column(df, h) for h in CI_HEADINGS}
     missing = [h for h, c in found.items() if c is None]
     if missing:
         raise ValueError(f"ci lookup is missing columns: {', '.join(missing)}")
-    return df.select(*[F.col(c).cast("string").alias(h.lower()) for h, c in found.items()])
+    return df.select(*[F.col(c).cast("string").alias(h.lower()) for h, c in found.items()], *kept)
 
 
 def read_ci_lookup(spark: SparkSession, path: str | None) -> DataFrame:
     """CI lookup from CSV; no path or an unreadable file gives an empty lookup.
 
-    Line order is kept in ``line_no``, because of duplicate keys the last line wins.
+    Line order, over several files by their names, is kept in ``line_no``, because
+    of duplicate keys the last line wins.
     """
-    empty = spark.createDataFrame([], CI_SCHEMA).withColumn("line_no", F.lit(None).cast("bigint"))
+    empty = spark.createDataFrame([], CI_SCHEMA).withColumn("line_no", F.lit(None).cast("string"))
     if not path:
         return empty
     try:
         raw = spark.read.options(**CSV_OPTIONS).csv(path)
     except AnalysisException:
         return empty
-    return normalize_ci_lookup(raw).withColumn("line_no", F.monotonically_increasing_id())
+    return normalize_ci_lookup(raw.withColumn("line_no", line_order()), "line_no")
+
+
+def line_order() -> Column:
+    """Order of a line among the files of a folder: by file name, place in the file, then row."""
+    place = F.lpad(F.col("_metadata.file_block_start").cast("string"), 19, "0")
+    row = F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0")
+    return F.concat_ws(":", "_metadata.file_name", place, row)
+
 
 
 def read_lexicon(spark: SparkSession, path: str | None) -> DataFrame:
     """Lexicon file as ``line_no, family``: stripped, blanks dropped, first of duplicates kept.
 
-    No path or an absent file gives an empty lexicon.
+    ``line_no`` orders the lines, of several files by their names. No path or an
+    absent file gives an empty lexicon.
     """
-    empty = spark.createDataFrame([], "line_no bigint, family string")
+    empty = spark.createDataFrame([], "line_no string, family string")
     if not path:
         return empty
     try:
@@ -135,18 +189,15 @@ def read_lexicon(spark: SparkSession, path: str | None) -> DataFrame:
     except AnalysisException:
         return empty
     lines = raw.select(
-        F.monotonically_increasing_id().alias("line_no"), strip_ws(F.col("value")).alias("family")
+        line_order().alias("line_no"), strip_ws(F.col("value")).alias("family")
     )
     first = lines.where(F.col("family") != "").groupBy("family").agg(F.min("line_no").alias("line_no"))
     return first.select("line_no", "family")
 
 
-def lexicon_names(lexicon: DataFrame, limit: int = 10_000) -> list[str]:
-    """Lexicon as an ordered list for building a pattern; ``ValueError`` above ``limit`` names."""
-    rows = lexicon.orderBy("line_no").select("family").take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"lexicon has more than {limit} names; it cannot become one pattern")
-    return [r[0] for r in rows]
+def lexicon_names(lexicon: DataFrame) -> list[str]:
+    """Lexicon as an ordered list for building a pattern."""
+    return [r[0] for r in lexicon.orderBy("line_no").select("family").collect()]
 
 
 def read_group(spark: SparkSession, path: str, run_id: str, scenario: str) -> DataFrame:
@@ -176,7 +227,7 @@ def list_runs(runs: DataFrame) -> DataFrame:
 def display_group(name: Column) -> Column:
     """``callout_x`` as ``callout/x``; other names unchanged."""
     return F.when(
-        name.startswith("callout_"), F.concat(F.lit("callout/"), F.substring(name, 9, 1 << 20))
+        name.startswith("callout_"), F.concat(F.lit("callout/"), F.regexp_replace(name, "^callout_", ""))
     ).otherwise(name)
 
 
@@ -190,7 +241,6 @@ def typed_unique_paths(df: DataFrame) -> DataFrame:
     return df.withColumn("incident_count", F.col("incident_count").cast("string").try_cast("bigint"))
 
 
-def read_unique_paths(spark: SparkSession, path: str) -> DataFrame:
-    """Path table from CSV (by suffix) or Parquet."""
-    df = read_csv(spark, path, UNIQUE_PATHS_SCHEMA) if path.endswith(".csv") else spark.read.parquet(path)
-    return typed_unique_paths(df)
+def read_unique_paths(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Path table from ``parquet``, or ``csv`` by its headings."""
+    return typed_unique_paths(read_incidents(spark, path, fmt=fmt))

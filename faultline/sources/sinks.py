@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,22 +29,40 @@ def or_unknown(c: Column) -> Column:
     return F.coalesce(c, F.lit(P.UNKNOWN))
 
 
+def _replace_runs(written: DataFrame, path: str, staged: str) -> None:
+    """Move each run folder below ``staged`` to ``path`` in place of the run of that name."""
+    spark = written.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
+    files = target.getFileSystem(conf)
+    for status in files.listStatus(source):
+        run = status.getPath()
+        if status.isDirectory():
+            place = jvm.org.apache.hadoop.fs.Path(target, run.getName())
+            files.delete(place, True)
+            files.rename(run, place)
+    files.delete(source, True)
+
+
 def write_run(tall: DataFrame, path: str, run_id: str | None = None, max_records: int = 2_000_000) -> None:
-    """Tall scenario table as ``run_id=/scenario=`` folders; other runs' files are kept.
+    """Tall scenario table as ``run_id=/scenario=`` folders; a run of the same name is replaced whole, others stay.
+
+    The run is written beside its place and moved there when it is complete, so a
+    scenario without rows now leaves none from before.
 
     Rows are rebalanced by folder: adaptive execution splits a dominant scenario
     over as many tasks as its size asks for and merges the rare ones, so neither
     one huge file nor one file per input task is written.
     """
     df = tall if run_id is None else tall.withColumn("run_id", F.lit(run_id))
+    staged = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
     (
         df.hint("rebalance", "run_id", "scenario")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records)
+        .write.option("maxRecordsPerFile", max_records)
         .partitionBy("run_id", "scenario")
-        .parquet(path)
+        .parquet(staged)
     )
+    _replace_runs(df, path, staged)
 
 
 def write_subgroups(tall: DataFrame, path: str, scenario: str, key: str, max_records: int = 2_000_000) -> None:

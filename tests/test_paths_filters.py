@@ -88,8 +88,8 @@ def brute(rows, path):
     return sum(any(path.lower() in (c or "").lower() for c in r[1:]) for r in rows)
 
 
-@pytest.mark.parametrize("limit", [0, filters.BROADCAST_BYTES])
-def test_drill_through_all_equals_comparing_every_pair(spark, limit):
+@pytest.mark.parametrize("chars", [1, filters.BLOCK_CHARS])
+def test_drill_through_all_equals_comparing_every_pair(spark, chars):
     rnd = random.Random(5)
     pieces = ["/", "//", "/var", "/VAR/x", "var", "\\\\srv\\s", "C:\\", "d:\\a b", " ", ",", ";", ".", "x1", "\n", "é"]
     rows = [
@@ -97,8 +97,9 @@ def test_drill_through_all_equals_comparing_every_pair(spark, limit):
         for i in range(120)
     ]
     paths = ["/", "/var", "/var/x", "/VAR/X", "/var/xvar", "//", "C:\\", "c:\\x1", "d:\\a", "\\\\srv\\s", "\\\\srv\\s.", "/nowhere", "/var.x1"]
+    paths += ["var", "x1,", "d:\\a b", "a b;", "é", " ", "VAR", "\n/"]
     table = spark.createDataFrame([(p,) for p in paths], "path string")
-    got = {r.path: r.matching_incidents for r in filters.drill_through_all(drill_rows(spark, rows), table, broadcast_bytes=limit).collect()}
+    got = {r.path: r.matching_incidents for r in filters.drill_through_all(drill_rows(spark, rows), table, block_chars=30 * chars).collect()}
     assert got == {p: brute(rows, p) for p in paths}
     assert max(got.values()) > 20 and got["/nowhere"] == 0
     for p in ("/var/x", "d:\\a"):
@@ -107,11 +108,19 @@ def test_drill_through_all_equals_comparing_every_pair(spark, limit):
 
 def test_drill_through_all_on_any_text(spark):
     rows = [("1", None, "abc d/e", None), ("2", "bc d", "x\ny", "ABC D"), ("3", None, None, None)]
-    table = spark.createDataFrame([("bc d",), ("c",), ("x y",), ("Y",)], "path string")
-    got = {r.path: r.matching_incidents for r in filters.drill_through_all(drill_rows(spark, rows), table, any_text=True).collect()}
-    assert got == {"bc d": 2, "c": 2, "x y": 0, "Y": 1}
-    with pytest.raises(Exception, match="not an absolute path"):
-        filters.drill_through_all(drill_rows(spark, rows), table).collect()
+    table = spark.createDataFrame([("bc d",), ("c",), ("x y",), ("Y",), (None,), ("",), ("in/data/x",), ("c",)], "path string")
+    got = sorted((tuple(r) for r in filters.drill_through_all(drill_rows(spark, rows), table).collect()), key=str)
+    assert got == sorted([("bc d", 2), ("c", 2), ("c", 2), ("x y", 0), ("Y", 1), (None, 0), ("", 0), ("in/data/x", 0)], key=str)
+    assert filters.drill_through_all(drill_rows(spark, []), table).where("matching_incidents > 0").count() == 0
+
+
+def test_drill_through_all_of_its_siblings_table_and_long_texts(spark):
+    """Paths cells are kept as written, relative or with spaces; a text of a megabyte is no obstacle."""
+    long_text = "/a/b" * 250_000 + " in/data/x.txt"
+    rows = [("1", "in/data/x.txt,/opt/my dir/f", None, None), ("2", None, long_text, "see /opt/my dir/f"), ("3", None, None, "/a/b")]
+    table = spark.createDataFrame([("in/data/x.txt",), ("/opt/my dir/f",), ("/a/b",)], "path string")
+    got = {r.path: r.matching_incidents for r in filters.drill_through_all(drill_rows(spark, rows), table).collect()}
+    assert got == {"in/data/x.txt": 2, "/opt/my dir/f": 2, "/a/b": 2}
 
 
 def test_drill_through_needs_a_path(spark):
@@ -178,6 +187,7 @@ def test_preview_is_the_head_of_the_sorted_table(spark, n):
     days = [0, 0, 0, 1, 1, 5, 5, 5, None, None]
     rows = [(str(i), None if d is None else T0 + timedelta(days=d, minutes=(i * 7) % 5)) for i, d in enumerate(days)]
     df = spark.createDataFrame(rows, "number string, opened timestamp_ntz").repartition(4)
-    ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or T0, r[0]))
+    ordered = sorted(rows, key=lambda r: (r[1] is None, r[1] or T0, r[0]))
     assert [tuple(r) for r in filters.preview(df, n=n).collect()] == ordered[:n]
-    assert [r.number for r in filters.preview(df, order=("number",), n=n).collect()] == sorted(r[0] for r in rows)[:n]
+    as_text = df.withColumn("opened", F.coalesce(F.col("opened").cast("string"), F.lit("unread")))
+    assert [r.number for r in filters.preview(as_text, n=n).collect()] == [r[0] for r in ordered[:n]]

@@ -67,11 +67,12 @@ def test_hot_instant_and_hot_copies(spark):
     assert sum(n for r, n in got.items() if r[5]) == 599
 
 
-def test_a_stored_row_id_is_used_without_writing(spark):
-    rows = [("E1", "a", T0, "1"), ("E1", "a", T0, "1"), ("E1", "a", T0 + DAY, "2")]
-    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], SCHEMA + ", rid int")
-    got = sorted((r.rid, r.recurs_24h) for r in add_recurrence(df, row_id="rid").collect())
-    assert got == [(0, False), (1, True), (2, True)]
+def test_nothing_is_written_and_the_scan_is_read_once(spark):
+    rows = [("E1", "a", T0, "1"), ("E1", "a", T0, "1"), ("E1", "a", T0 + DAY, "2"), (None, None, None, "3")]
+    out = add_recurrence(spark.createDataFrame(rows, SCHEMA))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and "Join" not in plan
+    assert sorted((r.number, r.recurs_24h) for r in out.collect()) == [("1", False), ("1", True), ("2", True), ("3", False)]
 
 
 @pytest.mark.parametrize("seed", range(3))

@@ -2,39 +2,20 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import faultline
-from faultline.session import new_table_path
+from faultline.session import new_table_path, ship_package
 
 BATCH_ROWS = 1000
 SLICE_BYTES = 4 << 20
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per context; no need for it to be installed on them."""
-    context = spark.sparkContext
-    if getattr(context, "_faultline_shipped", False):
-        return
-    root = Path(faultline.__file__).parent
-    handle, path = tempfile.mkstemp(prefix="faultline-", suffix=".zip")
-    with os.fdopen(handle, "wb") as f, zipfile.ZipFile(f, "w") as packed:
-        for file in sorted(root.rglob("*.py")):
-            packed.write(file, file.relative_to(root.parent))
-    context.addPyFile(path)
-    context._faultline_shipped = True
-
-
 def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in pieces of about ``most`` bytes, one row at least."""
     if not batch.num_rows:

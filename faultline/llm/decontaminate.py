@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.common import arrow_stage, as_bytes
-from faultline.llm.shingles import WordHashes, shingle_hashes, word_hashes, words
+from faultline.llm.shingles import hashed_words, shingle_hashes
 
 RADIUS = 23
 BLOCK_CHARS = 8 << 20
@@ -54,11 +54,10 @@ def fingerprint(sums: np.ndarray) -> np.ndarray:
 
 
 def item_block(rows: list[tuple], size: int) -> ItemBlock:
-    known = WordHashes()
-    found = [words((text or "").encode()) for _, text in rows]
-    kept = [i for i, w in enumerate(found) if w]
-    shingles = [shingle_hashes(word_hashes(found[i], known), size) for i in kept]
-    prints = np.array([fingerprint(signs(s).sum(axis=0))for s in shingles], np.uint64)
+    found = list(hashed_words([(text or "").encode() for _, text in rows]))
+    kept = [i for i, w in enumerate(found) if len(w)]
+    shingles = [shingle_hashes(found[i], size) for i in kept]
+    prints = np.array([fingerprint(signs(s).sum(axis=0)) for s in shingles], np.uint64)
     sizes = np.array([len(s) for s in shingles], np.int64)
     by_size = {int(m): np.flatnonzero(sizes == m) for m in np.unique(sizes)}
     # near[m][b, v]: which items of size m have, in byte b, a value within RADIUS // 8 bits of v.
@@ -144,14 +143,13 @@ def _finder(shared, size: int, similarity: float, item_type):
     arrow_item = to_arrow_type(item_type)
 
     def make():
-        known, block = WordHashes(), ItemBlock(**shared.value)
+        block = ItemBlock(**shared.value)
 
         def step(batch: pa.RecordBatch):
             rows: list[tuple] = []
             at: list[int] = []
-            for k, text in enumerate(as_bytes(batch.column("text"))):
-                found = words(text)
-                hashes = shingle_hashes(word_hashes(found, known), size)
+            for k, found in enumerate(hashed_words(as_bytes(batch.column("text")))):
+                hashes = shingle_hashes(found, size)
                 for i, (score, start, width, bits) in sorted(matches(hashes, block, similarity).items()):
                     rows.append((block.ids[i], start, min(width + size - 1, len(found)), score, bits))
                     at.append(k)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..sources.sinks import write_table
 from .common import explode_list, unknown, value_counts
 
 COUNT = "incidents_count"
@@ -41,17 +42,22 @@ def stuck_paths_counts(tall: DataFrame) -> DataFrame:
 def stuck_paths_stats(tall: DataFrame) -> DataFrame:
     """Per path: mentions, stuck files, and the spread of minutes.
 
-    The metrics ride along through the explode, so nothing is joined back.
+    The metrics ride along through the explode, so nothing is joined back. Mentions
+    are counted per path and minutes first, by a hash aggregate; the exact median
+    then takes each number of minutes once, with its weight.
     """
-    minutes = F.col("stuck_for_minutes").cast("double")
+    minutes, n = F.col("minutes"), F.col("n")
+    known = F.when(minutes.isNotNull(), n)
     return (
         explode_list(of(tall, "stuck-files"))
+        .groupBy("path", F.col("stuck_for_minutes").cast("double").alias("minutes"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("stuck_files_count", F.lit(0))).alias("files"))
         .groupBy("path")
         .agg(
-            F.count(F.lit(1)).alias(COUNT),
-            F.sum(F.coalesce("stuck_files_count", F.lit(0))).cast("double").alias("total_stuck_files"),
-            F.avg(minutes).alias("mean_minutes"),
-            F.median(minutes).alias("median_minutes"),
+            F.sum(n).alias(COUNT),
+            F.sum("files").cast("double").alias("total_stuck_files"),
+            (F.sum(minutes * n) / F.sum(known)).alias("mean_minutes"),
+            F.percentile(minutes, 0.5, n).alias("median_minutes"),
             F.min(minutes).alias("min_minutes"),
             F.max(minutes).alias("max_minutes"),
         )
@@ -277,3 +283,26 @@ def summary_json(tall: DataFrame, n: int = 10) -> DataFrame:
     )
     document = run_summary(tall).select("*", listed.scalar().alias("top_offenders_interfaces"))
     return document.select(F.to_json(F.struct("*")).alias("summary"))
+
+
+#: Tables of a whole run, by name; each reads only the scenarios it needs.
+RUN_TABLES = {
+    table.__name__: table
+    for table in (
+        stuck_paths_counts, stuck_paths_stats, stuck_top_interfaces, ftp_by_verb, ftp_by_code, ftp_iface_verb_code,
+        ftp_permission_connectivity, config_bad_paths, config_top_interfaces, err_remove_by_interface, err_remove_paths,
+        process_alert_by_interface, process_alert_time, callout_interfaces, callout_hosts, warnings_hosts, warnings_fs_paths,
+        misc_error_codes, misc_top_tokens, subgroup_counts, top_offenders, summary_json,
+    )
+}
+
+
+def write_run_tables(run: DataFrame, path: str, fmt: str = "parquet") -> list[str]:
+    """Every table of a stored run, one folder each below ``path``; returns their names.
+
+    Each table scans only its scenarios' folders and columns of the run, so the
+    texts are never extracted again. A CSV table needs plain columns only.
+    """
+    for name, table in RUN_TABLES.items():
+        write_table(table(run), f"{path}/{name}", fmt)
+    return list(RUN_TABLES)

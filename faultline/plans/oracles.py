@@ -751,4 +751,6 @@ FROM tall"""
     sql["summary_json"] = _with(
         f"""SELECT CAST(to_json(s) AS VARCHAR) AS summary
 FROM (SELECT *, {offenders} AS top_offenders_interfaces FROM ({summary.format(groups=as_map)})) s""", "tall", "names")
+    for name in ("stuck_paths_stats", "ftp_iface_verb_code", "misc_top_tokens", "top_offenders"):
+        sql[f"stored_{name}"] = sql[name]
     return sql

@@ -180,13 +180,30 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = new_table_path(spark, "run")
     sinks.write_run(runs(spark, sf_dir), path)
-    newest = readers.list_runs(spark.read.parquet(path)).first()[0]
+    newest = readers.run_names(spark, path)[0]
     return readers.read_group(spark, path, newest, "callout/mfterr03").select("number", "run_id", "scenario")
 
 
-query("latest_run")(
-    lambda spark, sf_dir: readers.latest_run(runs(spark, sf_dir)).select("number", "run_id", "scenario")
-)
+def stored_runs(spark: SparkSession, sf_dir: str) -> str:
+    path = new_table_path(spark, "run")
+    sinks.write_run(runs(spark, sf_dir), path)
+    return path
+
+
+@query("latest_run")
+def _(spark, sf_dir):
+    return readers.read_run(spark, stored_runs(spark, sf_dir)).select("number", "run_id", "scenario")
+
+
+def stored_tall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows as one stored run."""
+    path = new_table_path(spark, "run")
+    sinks.write_run(tall(spark, sf_dir), path, "all")
+    return readers.read_run(spark, path, "all")
+
+
+for _name in ("stuck_paths_stats", "ftp_iface_verb_code", "misc_top_tokens", "top_offenders"):
+    query(f"stored_{_name}")(over(stored_tall, getattr(S, _name)))
 query("summary_read")(lambda spark, sf_dir: readers.read_summary(scenarios.partition_summary(tagged(spark, sf_dir))))
 
 

@@ -219,6 +219,20 @@ def latest_run(runs: DataFrame) -> DataFrame:
     return runs.where(F.col("run_id") == newest.scalar())
 
 
+def run_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the stored runs, newest first, from the folder listing; no file is opened."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    found = [s.getPath().getName() for s in folder.getFileSystem(conf).listStatus(folder) if s.isDirectory()]
+    return sorted((n.removeprefix("run_id=") for n in found if n.startswith("run_id=")), reverse=True)
+
+
+def read_run(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """A stored run, by default the one whose name sorts last; other runs' files are not read."""
+    name = run_names(spark, path)[0] if run_id is None else run_id
+    return spark.read.parquet(path).where(F.col("run_id") == name)
+
+
 def list_runs(runs: DataFrame) -> DataFrame:
     """Run names, newest first."""
     return runs.select("run_id").distinct().orderBy(F.col("run_id").desc())

@@ -173,3 +173,20 @@ def test_results_do_not_depend_on_partitioning(spark, sf_dir):
         tall = scenarios.scenario_tall(tagged)
         outcomes.append([S.top_offenders(tall).collect(), S.stuck_paths_stats(tall).collect(), S.misc_top_tokens(tall).collect()])
     assert outcomes[0] == outcomes[1]
+
+
+def test_all_tables_of_a_stored_run(spark, sf_dir, tmp_path):
+    """Written from the stored run they equal those from the rows, and the scan is pruned by scenario."""
+    rows = queries.tall(spark, sf_dir).cache()
+    sinks.write_run(rows, f"{tmp_path}/runs", "r1")
+    sinks.write_run(rows.limit(5), f"{tmp_path}/runs", "r0")
+    assert readers.run_names(spark, f"{tmp_path}/runs") == ["r1", "r0"]
+    run = readers.read_run(spark, f"{tmp_path}/runs")
+    names = S.write_run_tables(run, f"{tmp_path}/tables")
+    assert len(names) == 22
+    for name in names:
+        back = spark.read.parquet(f"{tmp_path}/tables/{name}").collect()
+        assert sorted(map(str, back)) == sorted(map(str, S.RUN_TABLES[name](rows).collect())), name
+    plan = S.ftp_by_verb(run)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "scenario" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    rows.unpersist()

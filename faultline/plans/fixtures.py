@@ -80,6 +80,26 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(INCIDENTS_SQL, events=events)
 
 
+TEXTS_SQL = """
+SELECT number, text AS short_description, CAST(NULL AS STRING) AS description, CAST(NULL AS STRING) AS resolution_notes,
+  CAST(NULL AS STRING) AS comments, CAST(NULL AS TIMESTAMP) AS opened, CAST(NULL AS STRING) AS opened_raw,
+  CAST(NULL AS STRING) AS caller, CAST(NULL AS STRING) AS status, CAST(NULL AS STRING) AS category,
+  CAST(NULL AS STRING) AS severity, CAST(NULL AS STRING) AS assignment_group, CAST(NULL AS STRING) AS assigned_to,
+  CAST(NULL AS STRING) AS configuration_item, CAST(NULL AS STRING) AS source_sheet
+FROM (
+  SELECT 'D' || CAST(doc_id AS STRING) AS number, text FROM {documents}
+  UNION ALL SELECT 'P' || CAST(page_id AS STRING), html FROM {pages}
+  UNION ALL SELECT 'C' || CAST(conv_id AS STRING) || '-' || CAST(turn AS STRING), text FROM {conversations}
+) base
+"""
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts of documents, pages and conversations as tickets: long, with markup and letters of four languages."""
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "pages", "conversations")}
+    return spark.sql(TEXTS_SQL, **tables)
+
+
 def ci_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     # One line per CI, so any order of lines will do.

@@ -7,7 +7,7 @@ comparing every pair. Only the shared projections and fixed patterns coincide.
 
 from __future__ import annotations
 
-from .fixtures import CI_LOOKUP_SQL, INCIDENTS_SQL
+from .fixtures import CI_LOOKUP_SQL, INCIDENTS_SQL, TEXTS_SQL
 
 _FAMILY_NAMES = [
     "FMS-FTP-ERROR", "FMS-CONFIG-FILE", "FMS-ERR-FILE-REMOVE", "FMS-ERR-FILE-COPY", "FMS-DIR-CREATE",
@@ -335,6 +335,13 @@ USING (path)"""
 _CTES["ptable"] = (_paths_of("pairs"), ("pairs",))
 
 
+#: Text operators also run over real texts.
+TEXT_QUERIES = (
+    "interfaces", "error_codes", "error_family_v2", "error_family_v3", "error_family_lexicon", "paths_rooted", "paths_general",
+    "normalize_path", "ftp_code_message", "hosts", "script_name",
+)
+
+
 def _with(body: str, *needs: str) -> str:
     ordered: list[str] = []
 
@@ -753,4 +760,10 @@ FROM tall"""
 FROM (SELECT *, {offenders} AS top_offenders_interfaces FROM ({summary.format(groups=as_map)})) s""", "tall", "names")
     for name in ("stuck_paths_stats", "ftp_iface_verb_code", "misc_top_tokens", "top_offenders"):
         sql[f"stored_{name}"] = sql[name]
+    # The same SQL over whole real texts: only the table differs.
+    whole = TEXTS_SQL
+    for table in ("documents", "pages", "conversations"):
+        whole = whole.replace(f"{{{table}}}", table)
+    for name in TEXT_QUERIES:
+        sql[f"text_{name}"] = sql[name].replace(_CTES["incidents"][0], whole)
     return sql

@@ -22,7 +22,7 @@ from ..operators.common import explode_list, value_counts
 from ..operators.recurrence import add_recurrence, recurrence_pairs
 from ..session import new_table_path, written
 from ..sources import readers, schema, sinks
-from .fixtures import ci_lookup, incidents
+from .fixtures import ci_lookup, incidents, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -103,6 +103,11 @@ def per_row(columns: Callable[[], Sequence[Column]]) -> Query:
     return lambda spark, sf_dir: incidents(spark, sf_dir).select("number", *columns())
 
 
+def per_text(columns: Callable[[], Sequence[Column]]) -> Query:
+    """Like :func:`per_row`, over whole real texts."""
+    return lambda spark, sf_dir: texts(spark, sf_dir).select("number", *columns())
+
+
 def over(source: Query, fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(source(spark, sf_dir))
 
@@ -664,3 +669,40 @@ def _(spark, sf_dir):
 
 
 query("summary_json")(over(tall, S.summary_json))
+
+
+# --- the text operators over whole real texts ----------------------------------
+
+TEXT_QUERIES = {
+    "interfaces": lambda: [join_or_null(_ids()).alias("interfaces")],
+    "error_codes": lambda: [join_or_null(X.error_codes(sd())).alias("error_codes")],
+    "error_family_v2": lambda: [families.fixed_family(sd(), "v2").alias("error_family")],
+    "error_family_v3": lambda: [families.fixed_family(prefer_text(desc(), sd()), "v3").alias("error_family")],
+    "error_family_lexicon": lambda: [
+        families.family_v1(text_or_empty(desc())).alias("error_family"),
+        families.family_v1(text_or_empty(sd())).alias("error_family_short"),
+    ],
+    "paths_rooted": lambda: [
+        join_or_null(X.paths_rooted(sd(), "v1"), " ").alias("paths_v1"),
+        join_or_null(X.paths_rooted(sd(), "v2"), " ").alias("paths_v2"),
+        (F.size(X.paths_rooted(sd(), "v2")) > 0).alias("has_path"),
+    ],
+    "paths_general": lambda: [
+        join_list(X.text_paths(_pool())).alias("paths_v5"),
+        join_list(X.feature_paths(_pool())).alias("paths_v3"),
+    ],
+    "normalize_path": lambda: [X.normalize_path(sd()).alias("path")],
+    "ftp_code_message": lambda: [
+        X.ftp_code(sd()).alias("ftp_code"),
+        X.ftp_message(sd()).alias("ftp_message"),
+        X.ftp_code(desc()).alias("desc_code"),
+        X.ftp_message(desc()).alias("desc_message"),
+    ],
+    "hosts": lambda: [
+        join_list(X.app_hosts(_v4_text(), HOST_DOMAIN)).alias("hosts_v3"),
+        join_list(X.app_hosts(_v4_text())).alias("hosts_v4"),
+    ],
+    "script_name": lambda: [X.script_name(sd()).alias("script_name")],
+}
+for _name, _columns in TEXT_QUERIES.items():
+    query(f"text_{_name}")(per_text(_columns))

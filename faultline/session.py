@@ -33,10 +33,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     builder = SparkSession.builder.master(f"local[{cores}]").appName("faultline")
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
-    if str(cores).isdigit():
-        # Extraction costs far more than reading: a small file is still cut into a task per core.
-        builder = builder.config("spark.sql.files.minPartitionNum", str(cores)).config("spark.sql.files.openCostInBytes", "0")
-        builder = builder.config("spark.sql.files.maxPartitionBytes", "1m")
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)

@@ -11,10 +11,11 @@
    and size band, and a node near a band's end also visits the next. Very large tiles
    are cut into pairs of blocks. Inside a tile hashed bitmaps bound each overlap from
    above: a bit of one side that the other lacks is a shingle it lacks.
-4. Pairs that pass are verified by intersecting the sorted arrays. First each node
-   offers one earlier partner per tile; links found make components. Then all passing
-   pairs between different components are verified, so no link can be missed, while
-   a large group of copies never becomes all its pairs.
+4. Pairs that pass are verified by intersecting the sorted arrays. A node offers the
+   ``OFFERS`` passing partners whose bitmaps are closest; links found make components.
+   Where a node had more, its tiles are gone through again: once for the closest
+   partners in other components, then for all passing pairs between components. So no
+   link can be missed, while a large group of copies never becomes all its pairs.
 
 Defined cases: NULL text, or text without a word, has an empty set, linked with
 nothing. Fewer words than a shingle make one shingle. Rows sharing an id are separate
@@ -35,13 +36,15 @@ from pyspark.sql import functions as F
 
 from faultline.llm.common import arrow_stage, as_bytes, stored
 from faultline.llm.components import components
-from faultline.llm.shingles import WordHashes, shingle_set
+from faultline.llm.shingles import shingle_sets
 
-COMMON_SHARE = 2e-4
-COMMON_LEAST = 20
+COMMON_LEAST = 4
 COMMON_MOST = 1 << 20
 BAND_RATIO = 0.8**4
 BLOCK = 1024
+OFFERS = 4
+TILE_ROWS = 20_000
+PAIRS = 1 << 19
 FLUSH = 1 << 21
 NEEDED_BITS = 23
 
@@ -56,8 +59,8 @@ def prefix_length(n: int) -> int:
 
 
 def bitmap_bits(n: int) -> int:
-    """Bits of a set's bitmap: the power of two from four times its size."""
-    return max(64, 1 << (4 * n - 1).bit_length())
+    """Bits of a set's bitmap: the power of two from its size."""
+    return max(64, 1 << (n - 1).bit_length())
 
 
 def bitmap(found: np.ndarray) -> bytes:
@@ -73,14 +76,14 @@ def folded(raw: bytes, size: int) -> np.ndarray:
 
 
 def common_shingles(rows: DataFrame, size: int) -> np.ndarray:
-    """Shingles in more than about ``COMMON_SHARE`` of the documents, counted over all of them.
+    """Shingles that many documents have, from a count over all documents; at most ``COMMON_MOST``.
 
-    A task drops shingles it met once, so counts are low by at most one per flush;
-    they only order the work. At most ``COMMON_MOST`` come back.
+    A task counts ``FLUSH`` shingles at a time and passes on those met twice, so a
+    shingle counts here when its documents meet. The list only orders the work.
     """
 
     def make():
-        known, held = WordHashes(), []
+        held: list[np.ndarray] = []
 
         def flush():
             if held:
@@ -91,8 +94,8 @@ def common_shingles(rows: DataFrame, size: int) -> np.ndarray:
                 )
 
         def step(batch: pa.RecordBatch):
-            for text in as_bytes(batch.column("text")):
-                held.append(shingle_set(text, known, size))
+            for found in shingle_sets(as_bytes(batch.column("text")), size):
+                held.append(found)
                 step.size += len(held[-1])
                 if step.size >= FLUSH:
                     step.size = 0
@@ -102,8 +105,7 @@ def common_shingles(rows: DataFrame, size: int) -> np.ndarray:
         return step
 
     counts = arrow_stage(rows.select("text"), make, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    least = max(COMMON_LEAST, int(COMMON_SHARE * rows.count()))
-    top = counts.where(F.col("n") >= least).orderBy(F.desc("n")).limit(COMMON_MOST).toPandas()
+    top = counts.where(F.col("n") >= COMMON_LEAST).orderBy(F.desc("n")).limit(COMMON_MOST).toPandas()
     return np.sort(top["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
@@ -112,7 +114,7 @@ def signed_sets(rows: DataFrame, common: np.ndarray, size: int) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(common)
 
     def make():
-        known, seen, common = WordHashes(), set(), shared.value
+        seen, common = set(), shared.value
 
         def details(found: np.ndarray) -> list[int]:
             at = np.minimum(np.searchsorted(common, found), max(len(common) - 1, 0))
@@ -122,8 +124,7 @@ def signed_sets(rows: DataFrame, common: np.ndarray, size: int) -> DataFrame:
 
         def step(batch: pa.RecordBatch):
             nodes, sizes, bits, prefixes = [], [], [], []
-            for text in as_bytes(batch.column("text")):
-                found = shingle_set(text, known, size)
+            for found in shingle_sets(as_bytes(batch.column("text")), size):
                 node = None
                 if len(found):
                     node = int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -151,13 +152,17 @@ def band(n: Column) -> Column:
     return F.floor(F.log(n) / -math.log(BAND_RATIO)).cast("int")
 
 
-def tiles(signed: DataFrame) -> DataFrame:
-    """Rows ``token``, ``band``, ``k``, ``l`` (blocks), ``block``, ``node``, ``n``, ``bits`` of all tiles with partners."""
+def shared_tokens(signed: DataFrame) -> DataFrame:
+    """``token`` and ``node`` of the prefix shingles that more than one node has."""
     offers = signed.where("prefix is not null").select(F.explode("prefix").alias("token"), "node")
     order = Window.partitionBy("token").orderBy("node")
     near = [f("node").over(order) for f in (F.lag, F.lead)]
     repeated = offers.withColumns({"before": near[0], "after": near[1]}).where("before <> node or after <> node")
-    repeated = stored(repeated.select("token", "node").distinct(), "tokens")
+    return repeated.select("token", "node").distinct()
+
+
+def tiles(repeated: DataFrame, signed: DataFrame) -> DataFrame:
+    """Rows ``token``, ``band``, ``k``, ``l`` (blocks), ``block``, ``node``, ``n``, ``bits`` of all tiles."""
     large = repeated.groupBy("token").count().where(F.col("count") > BLOCK)
     large = large.select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     details = signed.where("bits is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
@@ -177,92 +182,122 @@ def tiles(signed: DataFrame) -> DataFrame:
     )
 
 
-def _passing(nodes: np.ndarray, sizes: np.ndarray, bits: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Which pairs ``left``, ``right`` may reach the overlap, by sizes and then by bitmaps."""
+def bounds(sizes: np.ndarray, bits: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Upper bound of the overlap of the pairs ``left``, ``right`` (row numbers), from their bitmaps."""
     a, b = sizes[left], sizes[right]
-    least = least_overlap(a, b)
-    ok = (np.minimum(a, b) >= least) & (nodes[left] != nodes[right])
-    at = np.flatnonzero(ok)
-    if not len(at):
-        return ok
-    width = min(len(bits[i]) for i in np.unique(np.concatenate([left[at], right[at]])))
-    table = np.stack([folded(raw, width) if len(raw) >= width else np.full(width // 8, ~np.uint64(0)) for raw in bits])
-    step = max(1, (1 << 20) // (width // 8))
-    for start in range(0, len(at), step):
-        p = at[start : start + step]
-        x, y = table[left[p]], table[right[p]]
-        lacks_x = np.bitwise_count(y & ~x).sum(axis=1)
-        lacks_y = np.bitwise_count(x & ~y).sum(axis=1)
-        ok[p] = np.minimum(a[p] - lacks_y, b[p] - lacks_x) >= least[p]
-    return ok
-
-
-def tile_pairs(nodes, sizes, bits, labels, blocks, same_block: bool, every: bool):
-    """Passing pairs of one tile between different labels: all, or per node the first partner before it."""
-    order = np.lexsort((nodes, sizes))
-    nodes, sizes, labels, blocks = nodes[order], sizes[order], labels[order], blocks[order]
-    bits = [bits[i] for i in order]
-    for i in range(1, len(nodes)):
-        low = np.searchsorted(sizes, -(-4 * sizes[i] // 5))
-        left = np.arange(low, i)
-        left = left[(labels[left] != labels[i]) & (same_block | (blocks[left] != blocks[i]))]
-        chunk = len(left) if every else 64
-        for start in range(0, len(left), max(chunk, 1)):
-            part = left[start : start + chunk]
-            part = part[_passing(nodes, sizes, bits, part, np.full(len(part), i))]
-            for j in part if every else part[:1]:
-                yield int(nodes[j]), int(nodes[i])
-            if len(part) and not every:
-                break
-
-
-def candidates(tile_rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` that pass in some tile: one per node and tile, or with ``labels`` all between components."""
-    every = labels is not None
+    widths = np.array([len(x) for x in bits])
+    narrow = np.minimum(widths[left], widths[right])
+    most = np.zeros(len(left), np.int64)
+    for width in np.unique(narrow):
+        at = np.flatnonzero(narrow == width)
+        rows, where = np.unique(np.concatenate([left[at], right[at]]), return_inverse=True)
+        table = np.stack([folded(bits[i], int(width)) for i in rows])
+        x_at, y_at = where[: len(at)], where[len(at) :]
+        step = max(1, (1 << 19) // table.shape[1])
+        for start in range(0, len(at), step):
+            p = slice(start, start + step)
+            x, y = table[x_at[p]], table[y_at[p]]
+            lacks_x = np.bitwise_count(y & ~x).sum(axis=1).astype(np.int64)
+            lacks_y = np.bitwise_count(x & ~y).sum(axis=1).astype(np.int64)
+            q = at[p]
+            most[q] = np.minimum(a[q] - lacks_y, b[q] - lacks_x)
+    return most
+
+
+def size_pairs(key: np.ndarray, cols: dict[str, np.ndarray]):
+    """Row pairs of the tiles that fit by size, label and block, at most about ``PAIRS`` at a time."""
+    same_block = cols["k"] == cols["l"]
+    left, right, held = [], [], 0
+    rows, apart = np.arange(len(key)), 1
+    while len(rows := rows[rows + apart < len(key)]):
+        rows = rows[key[rows] == key[rows + apart]]
+        for start in range(0, len(rows), PAIRS):
+            i, j = rows[start : start + PAIRS], rows[start : start + PAIRS] + apart
+            a, b = cols["n"][i], cols["n"][j]
+            fits = np.minimum(a, b) >= least_overlap(a, b)
+            fits &= (cols["label"][i] != cols["label"][j]) & (same_block[i] | (cols["block"][i] != cols["block"][j]))
+            left.append(i[fits])
+            right.append(j[fits])
+            held += int(fits.sum())
+            if held >= PAIRS:
+                yield np.concatenate(left), np.concatenate(right)
+                left, right, held = [], [], 0
+        apart += 1
+    if held:
+        yield np.concatenate(left), np.concatenate(right)
+
+
+def closest(nodes: np.ndarray, share: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries are among the ``most`` of largest share of their node, and the nodes that have more."""
+    order = np.lexsort((-share, nodes))
+    ranked = nodes[order]
+    rank = np.arange(len(ranked)) - np.searchsorted(ranked, ranked)
+    chosen = np.zeros(len(nodes), bool)
+    chosen[order[rank < most]] = True
+    return chosen, np.unique(ranked[rank >= most])
+
+
+def tile_offers(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes], most: int | None):
+    """Passing node pairs of whole tiles, and the nodes that had more than ``most`` partners."""
+    nodes, local = np.unique(cols["node"], return_inverse=True)
+    known = np.zeros(0, np.int64)
+    for left, right in size_pairs(key, cols):
+        a, b = np.minimum(local[left], local[right]), np.maximum(local[left], local[right])
+        code, first = np.unique(a * len(nodes) + b, return_index=True)
+        fresh = first[~np.isin(code, known)]
+        known = np.union1d(known, code)
+        if not len(fresh):
+            continue
+        left, right = left[fresh], right[fresh]
+        least = least_overlap(cols["n"][left], cols["n"][right])
+        bound = bounds(cols["n"], bits, left, right)
+        ok = bound >= least
+        a, b, share = a[fresh][ok], b[fresh][ok], bound[ok] / least[ok]
+        more = np.zeros(0, np.int64)
+        if most is not None and len(a):
+            chosen, more = closest(np.concatenate([a, b]), np.concatenate([share, share]), most)
+            chosen = chosen[: len(a)] | chosen[len(a) :]
+            a, b = a[chosen], b[chosen]
+        yield nodes[a], nodes[b], nodes[more]
+
+
+def candidates(tile_rows: DataFrame, labels: DataFrame | None, most: int | None) -> DataFrame:
+    """Distinct pairs ``a``, ``b`` that pass in some tile, between components if there are ``labels``.
+
+    With ``most``, only so many per node, the closest; a row with NULL ``a`` then says
+    that node ``b`` had more.
+    """
     rows = tile_rows.withColumn("label", F.col("node"))
-    if every:
+    if labels is not None:
         rows = tile_rows.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     key = ["token", "band", "k", "l"]
     rows = rows.repartition(*key).sortWithinPartitions(*key).select(*key, "block", "node", "n", "label", "bits")
 
     def make():
-        held: dict[str, list] = {}
-        seen: set[tuple[int, int]] = set()
-
-        def close(part: dict[str, list]):
-            a, b = [], []
-            keys = part["key"]
-            starts = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]] + [len(keys)]
-            for lo, hi in zip(starts, starts[1:], strict=False):
-                if hi - lo < 2:
-                    continue
-                cols = [np.array(part[c][lo:hi]) for c in ("node", "n", "label", "block")]
-                same = keys[lo][2] == keys[lo][3]
-                for pair in tile_pairs(cols[0], cols[1], part["bits"][lo:hi], cols[2], cols[3], same, every):
-                    pair = min(pair), max(pair)
-                    if pair not in seen:
-                        if len(seen) >= 1 << 18:
-                            seen.clear()
-                        seen.add(pair)
-                        a.append(pair[0])
-                        b.append(pair[1])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        held: list[pa.RecordBatch] = []
+
+        def close(last: bool):
+            table = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            cols = {n: table.column(n).to_numpy() for n in table.column_names if n != "bits"}
+            new = np.r_[True, np.logical_or.reduce([cols[k][1:] != cols[k][:-1] for k in key])]
+            cut = len(new) if last else int(np.flatnonzero(new)[-1])
+            if cut < len(new):
+                held.extend(table.slice(cut).to_batches())
+            if not cut:
+                return
+            cols = {n: v[:cut] for n, v in cols.items()}
+            bits = table.column("bits").slice(0, cut).to_pylist()
+            for a, b, more in tile_offers(cols, np.cumsum(new[:cut]), bits, most):
+                left = pa.concat_arrays([pa.array(a), pa.nulls(len(more), pa.int64())])
+                yield pa.RecordBatch.from_arrays([left, pa.array(np.concatenate([b, more]))], ["a", "b"])
 
         def step(batch: pa.RecordBatch):
-            cols = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-            cols["key"] = list(zip(*(cols[k] for k in key), strict=True))
-            for n in ("key", "node", "n", "label", "block", "bits"):
-                held[n] = held.get(n, []) + cols[n]
-            last = held["key"][-1]
-            cut = next(i for i in range(len(held["key"]) - 1, -2, -1) if i < 0 or held["key"][i] != last) + 1
-            if cut:
-                done = {n: v[:cut] for n, v in held.items()}
-                for n, v in held.items():
-                    held[n] = v[cut:]
-                yield from close(done)
-
-        step.end = lambda: close(held) if held else ()
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= TILE_ROWS:
+                yield from close(False)
+
+        step.end = lambda: close(True) if held else ()
         return step
 
     return arrow_stage(rows, make, "a long, b long").distinct()
@@ -271,30 +306,31 @@ def candidates(tile_rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 def sets_of(rows: DataFrame, signed: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """``node`` and ``shingles`` (binary) of the nodes in ``pairs``, hashed again from one text each.
 
-    Texts are picked in the scan by a bit table of fixed size over the ids needed,
-    then exactly by a join.
+    The scan skips texts by a bit table of fixed size over the ids needed; a join then
+    keeps the nodes needed.
     """
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    slots = nodes.select(F.pmod("node", F.lit(1 << NEEDED_BITS)).alias("slot"))
-    masks = slots.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int))) as m"))
+    slot = F.pmod(F.xxhash64("id"), F.lit(1 << NEEDED_BITS))
+    owners = signed.select("node", slot.alias("slot")).join(nodes, "node").groupBy("node").agg(F.min("slot").alias("slot"))
+    masks = owners.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int))) as m"))
     found = masks.toPandas()
     table = np.zeros(1 << (NEEDED_BITS - 6), np.uint64)
     table[found["w"].to_numpy(np.int64)] = found["m"].to_numpy(np.int64).view(np.uint64)
     shared = rows.sparkSession.sparkContext.broadcast(table)
 
     def make():
-        known, table, seen = WordHashes(), shared.value, set()
+        table, seen = shared.value, set()
 
         def step(batch: pa.RecordBatch):
+            slots = batch.column("slot").to_numpy().astype(np.uint64)
+            needed = (table[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1)
             out, sets = [], []
-            for text in as_bytes(batch.column("text")):
-                found = shingle_set(text, known, size)
+            for found in shingle_sets(as_bytes(batch.column("text").filter(pa.array(needed == 1))), size):
                 if not len(found):
                     continue
                 raw = found.tobytes()
                 node = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
-                at = node % (1 << NEEDED_BITS)
-                if node in seen or not (int(table[at >> 6]) >> (at & 63)) & 1:
+                if node in seen:
                     continue
                 if len(seen) >= 1 << 18:
                     seen.clear()
@@ -305,7 +341,7 @@ def sets_of(rows: DataFrame, signed: DataFrame, pairs: DataFrame, size: int) ->
 
         return step
 
-    made = arrow_stage(rows.select("text"), make, "node long, shingles binary")
+    made = arrow_stage(rows.select("text", slot.alias("slot")), make, "node long, shingles binary")
     return made.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
@@ -334,14 +370,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """One row per document: its id, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = stored(signed_sets(rows, common_shingles(rows, size), size), "sets")
-    tile_rows = tiles(signed)
-    pairs = stored(candidates(tile_rows, None), "pairs")
-    links = stored(verified(pairs, sets_of(rows, signed, pairs, size)), "links")
-    found = components(links)
-    rest = stored(candidates(tile_rows, found), "pairs").join(pairs, ["a", "b"], "left_anti")
-    rest = stored(rest, "pairs")
-    more = stored(verified(rest, sets_of(rows, signed, rest, size)), "links")
-    found = components(links.unionByName(more))
+    shared = stored(shared_tokens(signed), "tokens")
+    tried = links = found = None
+    again = shared
+    for most in (OFFERS, OFFERS, None):
+        offers = stored(candidates(tiles(again, signed), found, most), "pairs")
+        pairs = offers.where("a is not null")
+        if tried is not None:
+            pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        new = stored(verified(pairs, sets_of(rows, signed, pairs, size)), "links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = new if links is None else links.unionByName(new)
+        found = stored(components(links), "components")
+        busy = offers.where("a is null").select(F.col("b").alias("node"))
+        if not busy.limit(1).count():
+            break
+        again = stored(again.join(again.join(busy, "node", "left_semi").select("token").distinct(), "token", "left_semi"), "tokens")
     members = signed.select("id", "node", "n").join(found, "node", "left")
     named = members.withColumn("class", F.coalesce("component", "node"))
     smallest = named.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))

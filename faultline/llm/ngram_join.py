@@ -14,8 +14,9 @@
 4. Pairs that pass are verified by intersecting the sorted arrays. A node offers the
    ``OFFERS`` passing partners whose bitmaps are closest; links found make components.
    Where a node had more, its tiles are gone through again: once for the closest
-   partners in other components, then for all passing pairs between components. So no
-   link can be missed, while a large group of copies never becomes all its pairs.
+   partners in other components, then for all passing pairs between components, each
+   in the tile of its first common shingle only. So no link can be missed, while a
+   large group of copies never becomes all its pairs.
 
 Defined cases: NULL text, or text without a word, has an empty set, linked with
 nothing. Fewer words than a shingle make one shingle. Rows sharing an id are separate
@@ -204,8 +205,28 @@ def bounds(sizes: np.ndarray, bits: list[bytes], left: np.ndarray, right: np.nda
     return most
 
 
-def size_pairs(key: np.ndarray, cols: dict[str, np.ndarray]):
-    """Row pairs of the tiles that fit by size, label and block, at most about ``PAIRS`` at a time."""
+def met_before(key: np.ndarray, token: np.ndarray, earlier: list[list[int]]) -> dict[int, np.ndarray]:
+    """Per tile (by its first row) which of its rows share an earlier token, so that they meet in that tile already."""
+    out = {}
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    for lo, hi in zip(starts, np.r_[starts[1:], len(key)], strict=True):
+        if hi - lo > 1:
+            lengths = [len(x) for x in earlier[lo:hi]]
+            every = np.fromiter((t for x in earlier[lo:hi] for t in x), np.int64, sum(lengths))
+            owner = np.repeat(np.arange(hi - lo), lengths)
+            before = every < token[lo]
+            found, at, n = np.unique(every[before], return_inverse=True, return_counts=True)
+            twice = n[at] > 1
+            table = np.zeros((hi - lo, len(found)), np.float32)
+            table[owner[before][twice], at[twice]] = 1
+            table = table[:, n > 1]
+            out[int(lo)] = table @ table.T > 0
+    return out
+
+
+def size_pairs(key: np.ndarray, cols: dict[str, np.ndarray], met: dict[int, np.ndarray] | None = None):
+    """Row pairs of the tiles that fit by size, label and block and have not ``met``, about ``PAIRS`` at a time."""
+    tile = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(key)), 0))
     same_block = cols["k"] == cols["l"]
     left, right, held = [], [], 0
     rows, apart = np.arange(len(key)), 1
@@ -216,9 +237,13 @@ def size_pairs(key: np.ndarray, cols: dict[str, np.ndarray]):
             a, b = cols["n"][i], cols["n"][j]
             fits = np.minimum(a, b) >= least_overlap(a, b)
             fits &= (cols["label"][i] != cols["label"][j]) & (same_block[i] | (cols["block"][i] != cols["block"][j]))
-            left.append(i[fits])
-            right.append(j[fits])
-            held += int(fits.sum())
+            i, j = i[fits], j[fits]
+            if met is not None and len(i):
+                fresh = np.array([not met[s][x - s, y - s] for s, x, y in zip(tile[i].tolist(), i.tolist(), j.tolist(), strict=True)])
+                i, j = i[fresh], j[fresh]
+            left.append(i)
+            right.append(j)
+            held += len(i)
             if held >= PAIRS:
                 yield np.concatenate(left), np.concatenate(right)
                 left, right, held = [], [], 0
@@ -237,11 +262,11 @@ def closest(nodes: np.ndarray, share: np.ndarray, most: int) -> tuple[np.ndarray
     return chosen, np.unique(ranked[rank >= most])
 
 
-def tile_offers(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes], most: int | None):
+def tile_offers(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes], most: int | None, met=None):
     """Passing node pairs of whole tiles, and the nodes that had more than ``most`` partners."""
     nodes, local = np.unique(cols["node"], return_inverse=True)
     known = np.zeros(0, np.int64)
-    for left, right in size_pairs(key, cols):
+    for left, right in size_pairs(key, cols, met):
         a, b = np.minimum(local[left], local[right]), np.maximum(local[left], local[right])
         code, first = np.unique(a * len(nodes) + b, return_index=True)
         fresh = first[~np.isin(code, known)]
@@ -271,7 +296,14 @@ def candidates(tile_rows: DataFrame, labels: DataFrame | None, most: int | None)
     if labels is not None:
         rows = tile_rows.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     key = ["token", "band", "k", "l"]
-    rows = rows.repartition(*key).sortWithinPartitions(*key).select(*key, "block", "node", "n", "label", "bits")
+    once = labels is not None
+    columns = [*key, "block", "node", "n", "label", "bits"]
+    if labels is not None:
+        # The tokens by which a node may meet others: a pair then counts in the tile of its first common one only.
+        own = tile_rows.groupBy("node").agg(F.array_sort(F.collect_set("token")).alias("own"))
+        rows = rows.join(own, "node")
+        columns.append("own")
+    rows = rows.repartition(*key).sortWithinPartitions(*key).select(*columns)
 
     def make():
         held: list[pa.RecordBatch] = []
@@ -279,7 +311,7 @@ def candidates(tile_rows: DataFrame, labels: DataFrame | None, most: int | None)
         def close(last: bool):
             table = pa.Table.from_batches(held).combine_chunks()
             held.clear()
-            cols = {n: table.column(n).to_numpy() for n in table.column_names if n != "bits"}
+            cols = {n: table.column(n).to_numpy() for n in table.column_names if n not in ("bits", "own")}
             new = np.r_[True, np.logical_or.reduce([cols[k][1:] != cols[k][:-1] for k in key])]
             cut = len(new) if last else int(np.flatnonzero(new)[-1])
             if cut < len(new):
@@ -288,7 +320,10 @@ def candidates(tile_rows: DataFrame, labels: DataFrame | None, most: int | None)
                 return
             cols = {n: v[:cut] for n, v in cols.items()}
             bits = table.column("bits").slice(0, cut).to_pylist()
-            for a, b, more in tile_offers(cols, np.cumsum(new[:cut]), bits, most):
+            number, met = np.cumsum(new[:cut]), None
+            if once:
+                met = met_before(number, cols["token"], table.column("own").slice(0, cut).to_pylist())
+            for a, b, more in tile_offers(cols, number, bits, most, met):
                 left = pa.concat_arrays([pa.array(a), pa.nulls(len(more), pa.int64())])
                 yield pa.RecordBatch.from_arrays([left, pa.array(np.concatenate([b, more]))], ["a", "b"])
 

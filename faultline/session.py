@@ -67,17 +67,18 @@ _scratch: list[str] = []
 
 
 def remove_scratch(spark: SparkSession) -> None:
-    """Delete the tables written to fresh paths so far, wherever the file system is; needs a running context."""
+    """Delete the tables written to fresh paths so far, through Spark's file systems; local ones also without a context."""
     context = spark.sparkContext
     if getattr(context, "_jsc", None) is None:
-        spark = SparkSession.getActiveSession()
-        if spark is None:
-            return
-        context = spark.sparkContext
-    jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+        session = SparkSession.getActiveSession()
+        context = session.sparkContext if session is not None else None
     while _scratch:
-        place = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        place.getFileSystem(conf).delete(place, True)
+        path = _scratch.pop()
+        if context is not None:
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        elif os.path.isabs(local := path.removeprefix("file://")):
+            shutil.rmtree(local, ignore_errors=True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

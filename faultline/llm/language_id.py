@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import arrow_stage, mix
+from faultline.llm.common import arrow_stage, mix, slices
 
 UNKNOWN = "und"
+PIECE = 1 << 20
 NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 LETTER = regex.compile(r"\p{L}")
 
@@ -171,6 +172,11 @@ def _predict(model: LanguageModel):
     bits = int(model.slots.shape[0]).bit_length() - 1
 
     def step(batch: pa.RecordBatch):
+        # A byte of text takes some fifty while its n-grams are looked up, so one megabyte at a time.
+        for part in slices(batch, PIECE):
+            yield from judge(part)
+
+    def judge(batch: pa.RecordBatch):
         data, starts, lengths = _joined(batch.column("text"))
         full = np.flatnonzero(lengths)
         pred = np.full(len(lengths), UNKNOWN, object)

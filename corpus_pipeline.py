@@ -2,7 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept.
 All but the last return the columns of ``documents``; a row without an id is treated as
-the operator's docstring says. A stage never drops a row that its operator has not judged.
+the operator's docstring says. A stage never drops a row that its operator has not judged:
+rows without an id or sharing one are judged and dropped each by itself.
 """
 
 from __future__ import annotations
@@ -37,18 +38,26 @@ def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return changed.select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns) and ``key``, the row's own number; stored, so that it stays the same."""
+    return stored(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("key")), "keyed")
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    found = ngram_join.near_duplicates(docs)
-    copies = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("copy"))
-    return docs.join(copies, docs["doc_id"].eqNullSafe(copies["copy"]), "left_anti")
+    """Of each group of near duplicates the row with the smallest id; NULL counts last, of equal ids the first row's."""
+    rows = keyed(docs)
+    ordered = F.struct(F.col("row.doc_id").isNull().alias("unnamed"), F.col("row.doc_id").alias("doc_id"), "key")
+    found = ngram_join.near_duplicates(rows.select(ordered.alias("place"), "row.text"), id_col="place")
+    copies = found.where(F.col("place.key") != F.col("component_id.key")).select("place.key")
+    return rows.join(copies, "key", "left_anti").select("row.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontaminate.decontaminate(docs, benchmark).select(F.col("doc_id").alias("leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak"]), "left_anti")
+    rows = keyed(docs)
+    leaks = decontaminate.decontaminate(rows.select("key", "row.text"), benchmark, id_col="key").select("key").distinct()
+    return rows.join(leaks, "key", "left_anti").select("row.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -205,6 +205,31 @@ def test_pipeline_stages(spark, sf_dir):
         assert r.n_tokens == len(ids) and r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_pipeline_judges_rows_without_or_sharing_an_id(spark, sf_dir, tmp_path):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(1000)) for _ in range(60)) for _ in range(8)]
+    near = [t + " end" for t in texts]
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+
+    def kept(stage, pairs):
+        docs = spark.createDataFrame([(i, t, None, None, None) for i, t in pairs], schema)
+        out = stage(spark, stored(docs, "test"), str(tmp_path))
+        assert out.columns == schema.names
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    # A NULL id near document 1, clean NULL ids and copies of each other; 7 holds a copy of 1 and a clean text; 9 a row twice.
+    pairs = [(1, texts[0]), (None, near[0]), (None, texts[1]), (None, texts[2]), (None, near[2])]
+    pairs += [(7, near[0]), (7, texts[3]), (9, texts[4]), (9, texts[4]), (None, None), (None, ""), (5, None)]
+    got = kept(corpus_pipeline.one_of_each, pairs)
+    whole = [(1, texts[0]), (None, texts[1]), (7, texts[3]), (9, texts[4]), (None, None), (None, ""), (5, None)]
+    assert len(got) == len(whole) + 1 and set(whole) <= set(got)
+    assert sum(p in got for p in pairs[3:5]) == 1
+
+    spark.createDataFrame([(1, texts[0])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = [(None, texts[1]), (None, texts[1]), (7, texts[3]), (8, texts[4]), (None, None)]
+    assert kept(corpus_pipeline.without_benchmark, [*clean, (None, near[0]), (7, texts[0]), (2, near[0])]) == sorted(clean, key=str)
+
+
 def test_pipeline_runs_through_the_registry(spark, sf_dir):
     assert entry.queries()["pipeline"](spark, sf_dir).count() > 0
 

@@ -11,7 +11,10 @@ and proportions vary, the words are random.
 
 Defined cases: NULL or empty html gives an empty text, as does a page where nothing is
 kept. Unclosed and misnested tags are repaired, broken references stay as text.
-Comments, scripts, styles, templates, forms' controls and the head are never text.
+Comments, scripts, styles, templates, forms' controls and the head are never text; an
+unclosed script, style, title, textarea, iframe or noscript lasts to the page's end, as
+in browsers. An unclosed control ends where a block begins or the one around it ends.
+Text in svg, math, object and canvas is ordinary text.
 Repeated rows are extracted each. Only the columns named are read.
 """
 
@@ -40,7 +43,10 @@ BLOCKS = frozenset(
     "h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe select svg math object canvas button head".split())
+RAW = frozenset("script style textarea title noscript template iframe head".split())
+CONTROLS = frozenset(("button", "select"))
+CONTROL_TAG = {name: re.compile(rf"<(/?){name}\b[^>]*>?", re.IGNORECASE) for name in CONTROLS}
+BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})(?=[\s/>])", re.IGNORECASE)
 CLOSES_P = BLOCKS - {"html", "body"}
 #: A start tag ends an open element of these names, up to the barrier.
 IMPLIED = {
@@ -113,10 +119,11 @@ def parse(source: str) -> Page:
     stack.append(("html", opened("html", "")))
     at, end = 0, len(source)
     in_link = 0
+    control, inside, closed = "", 0, False  # the open control, the stack's size at its start, whether its end tag follows
     while at < end:
         found = TOKEN.search(source, at)
         text = source[at : found.start() if found else end]
-        if text:
+        if text and not control:
             text = html.unescape(text) if "&" in text else text
             pieces.append(text)
             if in_link:
@@ -131,21 +138,36 @@ def parse(source: str) -> Page:
         if found[1]:
             if name == "a":
                 in_link = 0
+            elif name == control:
+                control = ""
             elif name in BLOCKS and name not in ("html", "body"):
                 flush()
                 if open_count.get(name):
                     close_to(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
+                    if len(stack) < inside:
+                        control = ""
+            continue
+        if name in CONTROLS:
+            page.own[stack[-1][1]][6] += 1
+            other = CONTROL_TAG[name].search(source, at)
+            closed = bool(other and other[1])
+            if closed and not BLOCK_TAG.search(source, at, other.start()):
+                at = other.end()
+            else:
+                control, inside = name, len(stack)
             continue
         if name in RAW:
-            if name in ("textarea", "select", "button"):
+            if name == "textarea":
                 page.own[stack[-1][1]][6] += 1
             close = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(source, at)
-            if name == "head" and not close:
+            if name in ("head", "template") and not close:
                 continue
             at = close.end() if close else end
             continue
         if name in BLOCKS:
             in_link = 0
+            if control == "select" and name != "hr" or control and not closed:
+                control = ""
             if name in ("html", "body") and open_count.get(name):
                 continue
             size = len(stack)

@@ -66,6 +66,21 @@ def test_parser_cases():
     assert blocks(deep) == ["x"]
 
 
+def test_parser_loses_no_text_after_odd_elements():
+    def blocks(source):
+        return [t for _, t in html_extract.parse(source).blocks]
+
+    for odd in ("<svg/>", "<svg>", "<canvas/>", "<object data=x />", "<math/>", "<button>Go", "<select><option>o", "<template>"):
+        assert blocks(f"{odd}<p>a<p>b") == ["a", "b"], odd
+    assert blocks("<svg/><p>a</p><svg><path/></svg><p>b") == ["a", "b"]
+    assert blocks("<p>if <math><mi>x</mi></math> <object>is</object> so") == ["if x is so"]
+    assert blocks("<p>a <button>Go</button>b <select><option>o</select>c") == ["a b c"]
+    assert blocks("<button>Go<p>a</p><button>Go</button><p>b") == ["a", "b"]
+    assert blocks("<div><button>Go</div>a<p>b</p></button>c") == ["a", "b", "c"]
+    assert blocks("<button><div>Go</div></button><p>a") == ["a"]
+    assert blocks("<select><option>o<p>a</p></select>b") == ["a", "b"]
+
+
 def test_html_cases(spark):
     pages = spark.createDataFrame([(1, None), (1, None), (2, ""), (None, "<nav><a href=x>menu</a></nav>")], "page_id long, html string")
     pages = pages.withColumns({"url": F.lit(None).cast("string"), "text": F.lit("clash"), "k0": F.lit(1)})

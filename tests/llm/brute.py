@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import collections
+import hashlib
 import itertools
 import math
+import zlib
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,3 +108,47 @@ class ContextTree:
 
     def log10(self, word):
         return sum(math.log10(p if bit else 1 - p) for path, bit in self.decisions(word) for p in [self.one(path)])
+
+
+def _h(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _tree(leaves):
+    """Root and, per leaf, the runs of siblings (with the leaf's place) up to it."""
+    ways, at, level = [[] for _ in leaves], list(range(len(leaves))), leaves
+    while len(level) > 1:
+        for i, k in enumerate(at):
+            first = k - k % 16
+            ways[i].append((k - first, level[first:k] + level[k + 1 : first + 16]))
+        level = [_h("".join(level[i : i + 16])) for i in range(0, len(level), 16)]
+        at = [k // 16 for k in at]
+    return level[0], ways
+
+
+def merkle(rows):
+    """Rows of the manifest query from ``(doc_id, source, lang, n_chars, text)``, as a sorted list."""
+
+    def leaf(values):
+        return _h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+    sources = collections.defaultdict(list)
+    for r in rows:
+        hit = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0
+        text = r[4].translate(LOWER) if hit and r[4] is not None else r[4]
+        sources[r[1]].append(((r[0] is not None, r[0] or 0, leaf(r)), r[0], leaf(r), leaf([*r[:4], text])))
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = []
+    for name in names:
+        sources[name].sort(key=lambda x: x[0])
+        trees.append(_tree([x[2] for x in sources[name]]))
+    root, upper = _tree([t[0] for t in trees]) if trees else (None, [])
+    found = []
+    for name, (subroot, ways), above in zip(names, trees, upper, strict=True):
+        for (_, doc_id, own, other), way in zip(sources[name], ways, strict=True):
+            folded = other
+            for k, others in way + above:
+                folded = _h("".join(others[:k]) + folded + "".join(others[k:]))
+            proof = _h("".join("".join(others) for _, others in way + above))
+            found.append((doc_id, own, subroot, root, proof, folded, folded == root))
+    return sorted(found, key=repr)

@@ -27,6 +27,43 @@ FROM judged GROUP BY doc_id
 """
 
 
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang
+), placed AS (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, range(1, 6) AS sizes(k) WHERE len(w) >= k
+), counted AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM placed GROUP BY ALL HAVING count(*) >= 100
+), candidates AS (
+    SELECT lang, phrase, k AS size, string_split(phrase, ' ') AS w, f AS a FROM counted WHERE k > 1
+), cuts AS (
+    SELECT c.*, cut FROM candidates c, range(1, 5) AS cuts(cut) WHERE cut < size
+), scored AS (
+    SELECT c.lang, c.phrase, c.size, c.a, cut, l.f AS l, r.f AS r, n,
+           (1000::HUGEINT * c.a * n::HUGEINT) // (l.f::HUGEINT * r.f) AS score
+    FROM cuts c JOIN totals t ON c.lang = t.lang
+    JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(w[:cut], ' ')
+    JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_phrases AS (
+    SELECT lang, a, array_to_string(w[s:s + m - 1], ' ') AS phrase
+    FROM candidates, range(2, 5) AS shorter(m), range(1, 5) AS starts(s) WHERE m < size AND s + m - 1 <= size
+), kept AS (
+    SELECT * FROM lowest x WHERE NOT EXISTS (
+        SELECT 1 FROM inner_phrases i WHERE i.lang = x.lang AND i.phrase = x.phrase AND 100 * i.a >= 100 * x.a)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
 TOP_K = """
 WITH vectors AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
@@ -81,4 +118,4 @@ FROM steps JOIN start USING (doc_id) GROUP BY doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINE_DEDUP, "op7_license_scan": license_scan(), "op9_top_k": TOP_K}
+    return {"op3_line_dedup": LINE_DEDUP, "op7_license_scan": license_scan(), "op9_top_k": TOP_K, "op11_collocations": COLLOCATIONS}

@@ -6,10 +6,10 @@ words. One ``ROLLUP`` over these columns sums the windows by successively shorte
 so it yields the count of every phrase of one to ``ORDER`` words and, with no words left,
 the number of all words of the language.
 
-Before that, one pass counts words and neighbouring pairs by 64-bit hashes and marks the
-frequent ones in a bitmap of fixed size. A window ends where the next word or pair is rare:
-no phrase beyond can reach ``least``, while the counts of all that can stay exact. A mark
-set by chance only makes a window longer.
+Before that, words, then pairs of frequent words, then triples of frequent pairs are counted
+by 64-bit hashes, and the frequent ones marked in bitmaps of fixed size. A window ends where
+its last word, pair or triple is rare: no phrase beyond can reach ``least``, while the counts
+of all that can stay exact. A mark set by chance only makes a window longer.
 
 Defined cases: NULL text is empty, NULL language is ``und`` together with those named so.
 A text without words adds nothing; a language without phrases has no rows. Repeated rows
@@ -35,6 +35,10 @@ from faultline.llm.line_dedup import UPPER
 from faultline.llm.shingles import BASE, FACTORS, LETTERS, _powers
 
 ORDER = 5
+#: Runs of up to this many words are marked before windows are counted.
+MARKED = 3
+#: Languages whose totals are sent to every task; beyond that they are joined by shuffle.
+FEW_LANGUAGES = 10_000
 UNKNOWN = "und"
 PIECE = 1 << 20
 LEADS = [f"w{k}" for k in range(1, ORDER + 1)]
@@ -97,10 +101,22 @@ def scan(chunk: bytes, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return hashes, starts, ends + 1, near, int(np.searchsorted(starts, limit))
 
 
-def pair_keys(words: np.ndarray) -> np.ndarray:
-    """A key for each word and its next, the last with itself."""
-    after = np.r_[words[1:], words[-1:]]
-    return mix(words * FACTORS[0] + after * FACTORS[1] + np.uint64(2))
+def run_keys(words: np.ndarray, size: int) -> np.ndarray:
+    """A key for the run of ``size`` words that starts at each word; the last runs are too short and mean nothing."""
+    padded = np.r_[words, np.zeros(size, np.uint64)]
+    total = np.full(len(words), size, np.uint64)
+    for k in range(size):
+        total += padded[k : k + len(words)] * FACTORS[k]
+    return mix(total)
+
+
+def known_runs(words: np.ndarray, near: np.ndarray, marks: list[np.ndarray], orders: int) -> list[np.ndarray]:
+    """For 1 to ``orders`` words: whether the run at each word is within its piece and no part of it is known to be rare."""
+    found: list[np.ndarray] = []
+    for k in range(orders):
+        on = np.ones(len(words), bool) if not k else found[-1] & np.r_[found[-1][1:], False] & near
+        found.append(on & marked(marks[k], run_keys(words, k + 1)) if k < len(marks) else on)
+    return found
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.uint64, bytes, int]]:
@@ -112,25 +128,35 @@ def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.uint64, bytes,
             yield lang, salt, chunk, limit
 
 
-def _count_keys():
-    def step(batch: pa.RecordBatch):
-        for _, salt, chunk, limit in _by_language(batch):
-            hashes, _, _, near, count = scan(chunk, limit)
-            if count:
+def _count_keys(shared):
+    def make():
+        marks = shared.value
+        order = len(marks) + 1
+
+        def step(batch: pa.RecordBatch):
+            for _, salt, chunk, limit in _by_language(batch):
+                hashes, _, _, near, count = scan(chunk, limit)
                 words = mix(hashes ^ salt)
-                keys = np.concatenate([words[:count], pair_keys(words)[:count][near[:count]]])
-                found, n = np.unique(keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+                on = known_runs(words, near, marks, order)[-1][:count]
+                found, n = np.unique(run_keys(words, order)[:count][on], return_counts=True)
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
-    return step
+        return step
+
+    return make
 
 
-def frequent_marks(rows: DataFrame, least: int, bits: int) -> np.ndarray:
-    """Bitmap of ``2 ** bits`` places with those of every word and pair found ``least`` times; what reaches the driver is its size at most."""
-    counted = arrow_stage(rows, _count_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def frequent_marks(rows: DataFrame, marks: list[np.ndarray], least: int, bits: int) -> np.ndarray:
+    """Bitmap of ``2 ** bits`` places: those of the runs of one word more than ``marks`` know, found ``least`` times.
+
+    Only runs whose shorter parts are marked are counted. What reaches the driver is the bitmap's size at most.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
+    counted = arrow_stage(rows, _count_keys(shared), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     slot = F.shiftrightunsigned("key", 64 - bits)
-    marks = counted.where(F.col("n") >= least).select(F.shiftright(slot, 6).alias("at"), slot.bitwiseAND(F.lit(63)).alias("bit"))
-    found = marks.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("m")).toPandas()
+    often = counted.where(F.col("n") >= least).select(F.shiftright(slot, 6).alias("at"), slot.bitwiseAND(F.lit(63)).alias("bit"))
+    found = often.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("m")).toPandas()
     table = np.zeros(1 << (bits - 6), np.uint64)
     table[found["at"].to_numpy(np.int64)] = found["m"].to_numpy(np.int64).astype(np.uint64)
     return table
@@ -146,7 +172,7 @@ def _windows(shared):
     """Distinct windows of a chunk with their number; one without words stands for all places whose word is rare."""
 
     def make():
-        table = shared.value
+        marks = shared.value
 
         def step(batch: pa.RecordBatch):
             for lang, salt, chunk, limit in _by_language(batch):
@@ -154,12 +180,7 @@ def _windows(shared):
                 if not count:
                     continue
                 words = mix(hashes ^ salt)
-                known = marked(table, words)
-                on = np.r_[near & marked(table, pair_keys(words)), np.zeros(ORDER, bool)]
-                length = np.ones(len(words), np.int64)
-                for k in range(ORDER - 2, -1, -1):
-                    length = 1 + np.where(on[k : k + len(words)], length, 0)
-                length = np.where(known, length, 0)[:count]
+                length = sum(on.astype(np.int64) for on in known_runs(words, near, marks, ORDER))[:count]
                 padded = np.r_[words, np.zeros(ORDER, np.uint64)]
                 keys = length.astype(np.uint64)
                 for k in range(ORDER):
@@ -184,7 +205,10 @@ def phrase_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
     rows = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).where("text <> ''")
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_marks(rows, least, bits))
+    marks: list[np.ndarray] = []
+    for _ in range(MARKED):
+        marks.append(frequent_marks(rows, marks, least, bits))
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
     schema = ", ".join(["lang string", *[f"{w} string" for w in LEADS], "n long"])
     windows = arrow_stage(rows, _windows(shared), schema)
     sums = windows.rollup("lang", *LEADS).agg(F.sum("n").alias("f"))
@@ -213,6 +237,8 @@ def collocations(docs: DataFrame, *, most: int = 2000, least: int = 100, **optio
     left = parts.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
     right = parts.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
     totals = counts.where("size = 0").select("lang", F.col("f").alias("n"))
+    if totals.limit(FEW_LANGUAGES + 1).count() <= FEW_LANGUAGES:
+        totals = F.broadcast(totals)
     joined = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(totals, "lang")
     wide = [F.col(c).cast("decimal(19,0)") for c in ("n", "l", "r")]
     over = (F.col("a") * 1000).cast("decimal(19,0)") * wide[0]

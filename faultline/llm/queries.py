@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import (
-    bpe, collocations, context_tree, decontaminate, html_extract, language_id, license_scan, line_dedup, merkle, ngram_join, voronoi, warc,
+    bpe, collocations, context_tree, decontaminate, html_extract, language_id, license_scan, line_dedup, merkle, ngram_join, pii, voronoi, warc,
 )
 from faultline.llm.common import remainder, stored
 
@@ -100,6 +100,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2(F.col("base").cast("binary"), 256)).drop("base")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = merkle.build(merkle.leaves(docs, remainder(F.col("doc_id"), 5) == 0))
@@ -107,4 +112,4 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_context_tree, op3_line_dedup, op4_decontaminate, op5_html, op6_warc, op7_license_scan, op8_language_id, op9_top_k, op10_ngram_join, op11_collocations, op13_merkle)}
+    return {f.__name__: f for f in (op1_bpe, op2_context_tree, op3_line_dedup, op4_decontaminate, op5_html, op6_warc, op7_license_scan, op8_language_id, op9_top_k, op10_ngram_join, op11_collocations, op12_pii, op13_merkle)}

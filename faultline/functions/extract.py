@@ -108,16 +108,29 @@ def not_connected(c: Column) -> Column:
 
 
 def app_hosts(c: Column, domain: str | None = None) -> Column:
-    """Lower-cased hosts: application hosts, then names under ``domain``."""
+    """Lower-cased hosts: application hosts, then names under ``domain``.
+
+    A pattern started at every letter would take quadratic time on a long word. So each
+    run of host characters is tried once, up to its last ending, and the match proper is
+    then sought from the front of that piece, where the first try that can start succeeds.
+    """
     t = text_or_empty(c)
-    found = all_matches(t, P.APP_HOST, 0, ignore_case=True)
+    found = _last_in_runs(t, P.HOST_RUN, P.APP_HOST_END, P.APP_HOST)
     if domain is None:
         return F.transform(F.array_distinct(found), lambda h: F.lower(h))
     suffix = domain.replace(".", r"\.")
-    named = all_matches(t, rf"\b[A-Za-z0-9.-]+\.(?:{suffix})\b", 0, ignore_case=True)
+    ending = rf"\.(?:{suffix})\b"
+    named = _last_in_runs(t, P.NAME_RUN, ending, rf"\b[{P.NAME_RUN}]+{ending}")
     return F.array_distinct(F.transform(F.concat(found, named), lambda h: F.lower(h)))
 
 
+def _last_in_runs(c: Column, run: str, ending: str, whole: str) -> Column:
+    """The match of ``whole`` in each run of the characters ``run`` that holds ``ending``; it reaches to the last one."""
+    pieces = all_matches(c, rf"(?:^|[^{run}])[{run}]*{ending}", 0, ignore_case=True)
+    found = F.transform(pieces, lambda p: F.regexp_extract(p, f"(?iU){whole}\\z", 0))
+    return F.filter(found, lambda m: m != "")
+
+
 def host_tag(c: Column, prefix: str | None) -> Column:
     """First application host with the given prefix, case matters; without a prefix there is no tag."""
     if prefix is None:
@@ -253,11 +266,25 @@ def feature_paths(c: Column, allow_non_abs: bool = False) -> Column:
 
 def file_patterns(c: Column, profile: str) -> Column:
     """Distinct file names with a wildcard."""
-    pattern = P.FILE_WILDCARD_V3 if profile == "v3" else P.FILE_WILDCARD_V4
-    t = text_or_empty(c)
-    # The pattern is slow on long words and needs a star, which few texts have.
-    found = F.array_distinct(all_matches(t, pattern, 0))
-    return F.when(t.contains("*"), found).otherwise(F.array().cast("array<string>"))
+    # No match crosses a separator. Of the stretches between them those with a star are
+    # looked at; a match begins with a word's first letter before a star and reaches to the
+    # stretch's last letter or digit, so one attempt finds it, in linear time.
+    separators = r"[ \t:/\\]+" if profile == "v3" else r"[ \t:/]+"
+    stretches = F.filter(F.split(text_or_empty(c), separators), lambda s: s.contains("*"))
+
+    def whole(stretch: Column) -> Column:
+        return F.regexp_extract(F.regexp_extract(stretch, r"(?sU)^.*\w", 0), r"(?sU)(?<!\S)[^\w\s]*+(\w\S*\*.*)", 1)
+
+    if profile == "v3":
+        found = F.transform(stretches, whole)
+    else:  # a backslash may stand before the star but not after it
+        found = F.flatten(
+            F.transform(
+                stretches,
+                lambda s: F.when(s.contains("\\"), all_matches(s, P.FILE_WILDCARD_V4, 0)).otherwise(F.array(whole(s))),
+            )
+        )
+    return F.array_distinct(F.filter(found, lambda m: m != ""))
 
 
 def basename(path: Column) -> Column:

@@ -43,6 +43,9 @@ FTP_COMMAND = r"\b(Unsuccessful)\s+(PUT|GET)\b"  # i
 FTP_CODE_550 = r"\b550\b"
 FTP_CODE_MESSAGE = r"\b([45]\d{2})\b(?:\s+([^.]+))?"
 APP_HOST = r"\b[a-z][a-z0-9_-]*app[0-9]{3,4}\b"  # i
+APP_HOST_END = r"app[0-9]{3,4}\b"  # i
+HOST_RUN = "a-z0-9_-"  # i
+NAME_RUN = "A-Za-z0-9.-"
 SCRIPT_NAME = r"(?<![A-Za-z0-9_\-])([A-Za-z0-9_\-]++\.sh)\b"  # whole runs only, so linear
 FMS_CLASS = r"\bClass:\s*(FMS_[A-Z_]+)"
 WARNING_SUBJECT = r"WARNING:\s*([^\n]+)"

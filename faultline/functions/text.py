@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -71,6 +73,19 @@ def lookup(key: Column, table: Mapping[str, str]) -> Column:
     return F.try_element_at(F.create_map(*entries), key)
 
 
+def large_lookup(key: Column, table: Mapping[str, str], bucket: int = 16) -> Column:
+    """As :func:`lookup` for a table of any length: a map is searched from its start, so there is one per few keys."""
+    if len(table) <= 4 * bucket:
+        return lookup(key, table)
+    count = len(table) // bucket
+    parts: list[dict[str, str]] = [{} for _ in range(count)]
+    for name, value in table.items():
+        parts[zlib.crc32(name.encode()) % count][name] = value
+    maps = F.from_json(F.lit(json.dumps(parts)), "array<map<string,string>>")
+    number = (F.crc32(key.cast("binary")) % count).cast("int")
+    return F.try_element_at(F.get(maps, number), key)
+
+
 def pool_text(*cols: Column) -> Column:
     """Non-blank texts joined by one space (``''`` when all are blank)."""
     return F.concat_ws(" ", *[F.when(~is_blank(c), c) for c in cols])

@@ -493,7 +493,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT source_sheet, fam3 AS error_family, count(*) AS count FROM f3 WHERE fam3 <> '' GROUP BY 1, 2", "f3")
     sql["lexicon_load"] = _with(
         "SELECT row_number() OVER (ORDER BY category DESC) - 1 AS position, category AS family FROM (SELECT DISTINCT category FROM incidents)", "incidents")
-    sql["ci_lookup_scan"] = _with("SELECT * FROM lookup", "lookup")
+    sql["ci_lookup_scan"] = _with(
+        """SELECT configuration_item AS ci, max(severity) AS ci_role, min(category) AS ci_protocol, max(source_sheet) AS ci_env,
+  min(assignment_group) AS ci_techstack, CAST(count(*) AS VARCHAR) AS ci_criticality
+FROM incidents WHERE configuration_item IS NOT NULL GROUP BY 1""", "incidents")
     sql["read_group"] = _with(
         f"""SELECT number, {_RUN} AS run_id, scenario FROM tall
 WHERE scenario = 'callout_mfterr03' AND {_RUN} = (SELECT max({_RUN}) FROM tall)""", "tall")

@@ -159,26 +159,24 @@ def _(spark, sf_dir):
         F.explode(F.array(F.concat(F.lit("  "), F.col("category"), F.lit("\t")), F.lit("  "))).alias("value")
     )
     path = new_table_path(spark, "lexicon")
-    names.distinct().orderBy(F.col("value").desc()).coalesce(1).write.text(path)
-    lexicon = readers.lexicon_names(readers.read_lexicon(spark, path))
-    rows = [(k, name) for k, name in enumerate(lexicon)]
-    return spark.createDataFrame(rows, "position long, family string")
+    names.distinct().orderBy(F.col("value").desc()).write.text(path)
+    return readers.lexicon_positions(readers.read_lexicon(spark, path))
 
 
 @query("ci_lookup_scan")
 def _(spark, sf_dir):
+    """Every ticket's CI as a lookup line, then what the tickets of each CI say together; the later folder's lines win."""
     path = new_table_path(spark, "ci-lookup")
-    titled = ci_lookup(spark, sf_dir).select(*[F.col(h.lower()).alias(h) for h in readers.CI_HEADINGS])
-    # Two files, the older with other values for each CI: the later file's lines win.
-    older = titled.withColumn("CI_role", F.lit("old"))
-    sinks.write_table(older.unionByName(older).coalesce(1), f"{path}/a", "csv")
-    sinks.write_table(titled.coalesce(1), f"{path}/b", "csv")
-    first, last = (spark.read.text(f"{path}/{x}").inputFiles()[0] for x in "ab")
-    jvm = spark.sparkContext._jvm
-    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for name, file in (("1.csv", first), ("2.csv", last)):
-        files.rename(jvm.org.apache.hadoop.fs.Path(file), jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
-    return E.last_per_ci(readers.read_ci_lookup(spark, f"{path}/*.csv"))
+    tickets = incidents(spark, sf_dir).where(F.col("configuration_item").isNotNull())
+    facts = {
+        "CI_role": F.max("severity"), "CI_protocol": F.min("category"), "CI_env": F.max("source_sheet"),
+        "CI_techstack": F.min("assignment_group"), "CI_criticality": F.count(F.lit(1)).cast("string"),
+    }
+    titled = tickets.groupBy(F.col("configuration_item").alias("CI")).agg(*[c.alias(h) for h, c in facts.items()])
+    old = [F.lit(f"old {h}").alias(h.upper()) for h in reversed(facts)]
+    sinks.write_table(tickets.select(*old, F.col("configuration_item").alias(" ci")), f"{path}/a", "csv")
+    sinks.write_table(titled, f"{path}/b", "csv")
+    return E.last_per_ci(readers.read_ci_lookup(spark, f"{path}/*"))
 
 
 @query("read_group")

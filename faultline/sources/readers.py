@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import collections
+import csv
+import functools
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..functions.text import strip_ws
+from ..session import written
 from .schema import find_column, resolve_columns
 
 CI_HEADINGS = ("CI", "CI_role", "CI_protocol", "CI_env", "CI_techstack", "CI_criticality")
@@ -49,29 +55,55 @@ def read_csv_by_heading(
 ) -> DataFrame:
     """CSV whose columns go by the headings written in the files, all as text; nothing is scanned to infer types.
 
-    ``headings="each"`` reads the heading of every file (a look at its first line
-    each) and puts files with different columns or order together by our names,
-    absent ones as NULL. ``"first"`` takes the first file's for all, and Spark fails
-    where another file's differ.
+    ``headings="each"`` goes by the catalogue of :func:`csv_parts` and puts files with
+    different columns or order together by our names, absent ones as NULL. ``"first"``
+    takes the first file's for all, and Spark fails where another file's differ.
     """
-    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "enforceSchema": "false"}
-    files = sorted(spark.read.text(path).inputFiles())
     if headings == "first":
+        options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "enforceSchema": "false"}
+        files = sorted(spark.read.text(path).inputFiles())
         names = spark.read.options(**options).csv(files[0]).columns
         return resolve_columns(spark.read.schema(_text_schema(names)).options(**options).csv(path))
     if headings != "each":
         raise ValueError(f"headings must be 'each' or 'first', not {headings!r}")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        groups.setdefault(tuple(spark.read.options(**options).csv(file).columns), []).append(file)
-    out: DataFrame | None = None
-    for names, members in groups.items():
-        if names:
-            part = resolve_columns(spark.read.schema(_text_schema(names)).options(**options).csv(members))
-            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
+    parts = [resolve_columns(part) for part in csv_parts(spark, path, multi_line)]
+    if not parts:
         raise ValueError(f"no headings in {path}")
-    return out
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def heading_names(line: str) -> list[str] | None:
+    """Column names in a heading line, as Spark's CSV reader would name them; None if a quoted name is not closed."""
+    if line.count('"') % 2:
+        return None
+    names = next(csv.reader([line.removeprefix("\ufeff")]))
+    times = collections.Counter(n.lower() for n in names)
+    return [f"{n}{k}" if n and times[n.lower()] > 1 else n or f"_c{k}" for k, n in enumerate(names)]
+
+
+def csv_headings(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """Catalogue of ``(heading line, files)``, from one distributed pass whatever the number of files.
+
+    A file's heading is its first line that is not blank, found among the rows of its
+    first block. What reaches the driver are the file names, which it lists anyway.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    early = lines.where((F.col("file_block_start") == 0) & (strip_ws(F.col("value")) != ""))
+    placed = early.withColumn("place", F.monotonically_increasing_id())
+    firsts = placed.groupBy("file_path").agg(F.min_by("value", "place").alias("heading"))
+    groups = firsts.groupBy("heading").agg(F.array_sort(F.collect_list("file_path")).alias("files")).collect()
+    return sorted(((r["heading"], r["files"]) for r in groups), key=lambda g: g[1][0])
+
+
+def csv_parts(spark: SparkSession, path: str, multi_line: bool = True) -> list[DataFrame]:
+    """The files of each distinct heading as one table with their own column names, all text, in order of their first file."""
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
+    parts = []
+    for heading, files in csv_headings(spark, path):
+        members = [unquote(f) for f in files]
+        names = heading_names(heading) or spark.read.options(**options).csv(members[0]).columns
+        parts.append(spark.read.schema(_text_schema(names)).options(**options).csv(members))
+    return parts
 
 
 def _text_schema(names) -> T.StructType:
@@ -152,27 +184,27 @@ def normalize_ci_lookup(df: DataFrame, *kept: str) -> DataFrame:
 
 
 def read_ci_lookup(spark: SparkSession, path: str | None) -> DataFrame:
-    """CI lookup from CSV; no path or an unreadable file gives an empty lookup.
+    """CI lookup from CSV by the heading of each file; no path or an unreadable file gives an empty lookup.
 
     Line order, over several files by their names, is kept in ``line_no``, because
-    of duplicate keys the last line wins.
+    of duplicate keys the last line wins. A file without one of the columns is an error.
     """
     empty = spark.createDataFrame([], CI_SCHEMA).withColumn("line_no", F.lit(None).cast("string"))
     if not path:
         return empty
     try:
-        raw = spark.read.options(**CSV_OPTIONS).csv(path)
+        parts = csv_parts(spark, path)
     except AnalysisException:
         return empty
-    return normalize_ci_lookup(raw.withColumn("line_no", line_order()), "line_no")
+    named = [normalize_ci_lookup(part.withColumn("line_no", line_order()), "line_no") for part in parts]
+    return functools.reduce(DataFrame.unionByName, named) if named else empty
 
 
 def line_order() -> Column:
-    """Order of a line among the files of a folder: by file name, place in the file, then row."""
+    """Order of a line among files: by path, place in the file, then row."""
     place = F.lpad(F.col("_metadata.file_block_start").cast("string"), 19, "0")
     row = F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0")
-    return F.concat_ws(":", "_metadata.file_name", place, row)
-
+    return F.concat_ws(":", "_metadata.file_path", place, row)
 
 
 def read_lexicon(spark: SparkSession, path: str | None) -> DataFrame:
@@ -195,6 +227,27 @@ def read_lexicon(spark: SparkSession, path: str | None) -> DataFrame:
     return first.select("line_no", "family")
 
 
+def numbered(df: DataFrame, order: str) -> DataFrame:
+    """``df`` with ``position``, counted from 0 in ascending ``order``.
+
+    Rows are dealt by ranges and sorted there; the number of rows before each
+    range comes from one count per range, so no task sees all rows.
+    """
+    sorted_rows = df.repartitionByRange(order).sortWithinPartitions(order)
+    rows = written(sorted_rows.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn("_range", F.shiftright("_at", 33))
+    counts = rows.groupBy("_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)  # one row per range
+    starts = counts.select("_range", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    placed = rows.join(starts, "_range").withColumn("position", F.col("_at") + F.col("_shift"))
+    return placed.select(*df.columns, "position")
+
+
+def lexicon_positions(lexicon: DataFrame) -> DataFrame:
+    """``position, family``: the lexicon's entries with their place from 0."""
+    return numbered(lexicon, "line_no").select("position", "family")
+
+
 def lexicon_names(lexicon: DataFrame) -> list[str]:
     """Lexicon as an ordered list for building a pattern."""
     return [r[0] for r in lexicon.orderBy("line_no").select("family").collect()]

@@ -238,3 +238,36 @@ def test_row_operators_run_on_a_stream(spark, sf_dir, folder):
 def test_pattern_tables_are_consistent():
     assert set(P.SCENARIO_RULES) | {"misc"} == set(P.SCENARIOS)
     assert len(P.FAMILY_LEXICON) == 20 and datetime.fromisoformat(P.SERIAL_DAY_ORIGIN)
+
+
+def test_heading_lines_are_read_as_the_csv_reader_reads_them(spark, folder):
+    for k, line in enumerate(['a,b', '"a, x",b', 'a,,A,b', '"q ""x""",  b ', "a"]):
+        path = put(folder, f"h{k}.csv", f"{line}\n1,2,3,4\n")
+        want = spark.read.options(**readers.CSV_OPTIONS).csv(path).columns
+        assert readers.heading_names(line) == want
+    assert readers.heading_names('"a\n'.strip()) is None
+
+
+def test_catalogue_of_headings_over_many_files(spark, folder):
+    os.mkdir(f"{folder}/many files")
+    for k in range(30):
+        names = ["Number", "Status", "Caller"] if k % 3 else ["caller", "NUMBER", '"sta\ntus"']
+        row = {"number": f"n{k}", "caller": f"c{k}", "status": f"s{k}", '"sta\ntus"': f"s{k}"}
+        put(f"{folder}/many files", f"{k:02}.csv", ("\n" if k == 4 else "") + ",".join(names) + "\n" + ",".join(row[n.lower()] for n in names) + "\n")
+    groups = readers.csv_headings(spark, f"{folder}/many files")
+    assert sorted(len(files) for _, files in groups) == [10, 20]
+    got = readers.read_csv_by_heading(spark, f"{folder}/many files").select("number", "caller", "status").collect()
+    assert sorted(tuple(r) for r in got) == sorted((f"n{k}", f"c{k}", f"s{k}") for k in range(30))
+
+
+def test_ci_lookup_goes_by_the_heading_of_each_file(spark, folder):
+    os.mkdir(f"{folder}/cis")
+    put(f"{folder}/cis", "1.csv", "CI,CI_role,CI_protocol,CI_env,CI_techstack,CI_criticality\na,ra,pa,ea,ta,1\nb,rb,pb,eb,tb,2\n")
+    put(f"{folder}/cis", "2.csv", "ci_criticality,CI_env,CI_techstack,CI_protocol, CI_ROLE ,CI,more\n3,ec,tc,pc,rc,a,x\n")
+    got = {r.ci: tuple(r) for r in enrich.last_per_ci(readers.read_ci_lookup(spark, f"{folder}/cis")).collect()}
+    assert got == {"a": ("a", "rc", "pc", "ec", "tc", "3"), "b": ("b", "rb", "pb", "eb", "tb", "2")}
+
+
+def test_numbered_counts_over_ranges(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("id")).repartition(7)
+    assert [(r.id, r.position) for r in readers.numbered(df, "id").orderBy("id").collect()] == [(k, k) for k in range(1000)]

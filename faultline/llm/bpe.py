@@ -15,6 +15,7 @@ are read, and only those come back.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import arrow_stage
+from faultline.llm.common import arrow_stage, slices
 
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = np.int32(2**31 - 1)
@@ -249,20 +250,60 @@ def encode(docs: DataFrame, vocab: Vocabulary, *, id_col: str = "doc_id", text_c
     return arrow_stage(rows, make, f"id {kind}, ids binary").withColumnRenamed("id", id_col)
 
 
+#: Bytes of text that ``round_trip`` holds encoded and decoded at a time, one text at least.
+PIECE = 1 << 20
+
+
+def round_trip(docs: DataFrame, vocab: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, ``n_tokens``, ``ids``, their digest and that of the text decoded from them, in one Python stage.
+
+    Decoded texts are hashed where they are made, so they never travel.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+    def make():
+        encoder = Encoder(shared.value)
+
+        def digests(part: pa.RecordBatch):
+            ids = encoder.encode(part.column("text").to_pylist())
+            back = [text_of(shared.value, raw).encode() for raw in ids]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("id"), pa.array([len(raw) // 4 for raw in ids], pa.int64()), pa.array(ids, pa.binary()),
+                    pa.array([hashlib.sha256(raw).hexdigest() for raw in ids], pa.string()),
+                    pa.array([hashlib.sha256(text).hexdigest() for text in back], pa.string()),
+                ],
+                ["id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"],
+            )
+
+        def step(batch: pa.RecordBatch):
+            for part in slices(batch, PIECE):
+                yield from digests(part)
+
+        return step
+
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string"
+    return arrow_stage(rows, make, schema).withColumnRenamed("id", id_col)
+
+
+def text_of(vocab: Vocabulary, raw: bytes | None) -> str:
+    """The text of little-endian ids; unknown ids are skipped, broken UTF-8 is repaired."""
+    ids = np.frombuffer(raw or b"", "<u4")
+    ids = ids[ids < len(vocab.token_lengths)]
+    found = gather(vocab.token_bytes, vocab.token_starts[ids], vocab.token_lengths[ids])
+    return found.tobytes().decode("utf-8", "replace")
+
+
 def decode(encoded: DataFrame, vocab: Vocabulary, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``id_col``, ``ids`` as given and the decoded ``text`` of each row, special tokens included."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocab)
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
 
-    def text_of(raw: bytes | None) -> str:
-        ids = np.frombuffer(raw or b"", "<u4")
-        ids = ids[ids < len(shared.value.token_lengths)]
-        found = gather(shared.value.token_bytes, shared.value.token_starts[ids], shared.value.token_lengths[ids])
-        return found.tobytes().decode("utf-8", "replace")
-
     def make():
         def step(batch: pa.RecordBatch):
-            texts = [text_of(raw) for raw in batch.column("ids").to_pylist()]
+            texts = [text_of(shared.value, raw) for raw in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())], ["id", "ids", "text"]
             )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,10 +46,20 @@ def arrow_stage(df: DataFrame, make: Callable[[], Callable], schema: str | T.Str
             for part in slices(batch):
                 yield from step(part)
         yield from getattr(step, "end", lambda: ())()
+        del step
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give the memory of a finished task back, as workers stay for later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of a string column, null as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

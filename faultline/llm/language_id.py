@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -159,16 +160,21 @@ def _counts(sizes: tuple[int, ...]):
     return step
 
 
-def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, ``lang_pred`` and ``score``, the corrected share of the text's n-grams in that language's filter."""
+def identify(
+    docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text", inside: bool = False
+) -> DataFrame:
+    """Per row: the id, ``lang_pred`` and ``score``, the corrected share of the text's n-grams in that language's filter.
+
+    ``inside``: the id is a struct and the text one of its fields, so it is sent once.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), *([] if inside else [F.col(text_col).alias("text")]))
     schema = T.StructType([rows.schema["id"]]).add("lang_pred", "string").add("score", "double")
-    out = arrow_stage(rows, lambda: _predict(shared.value), schema)
+    out = arrow_stage(rows, lambda: _predict(shared.value, text_col if inside else None), schema)
     return out.withColumnRenamed("id", id_col)
 
 
-def _predict(model: LanguageModel):
+def _predict(model: LanguageModel, field: str | None = None):
     bits = int(model.slots.shape[0]).bit_length() - 1
 
     def step(batch: pa.RecordBatch):
@@ -177,7 +183,8 @@ def _predict(model: LanguageModel):
             yield from judge(part)
 
     def judge(batch: pa.RecordBatch):
-        data, starts, lengths = _joined(batch.column("text"))
+        texts = batch.column("text") if field is None else pc.struct_field(batch.column("id"), field)
+        data, starts, lengths = _joined(texts)
         full = np.flatnonzero(lengths)
         pred = np.full(len(lengths), UNKNOWN, object)
         score = np.zeros(len(lengths))

@@ -20,16 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = bpe.load_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    return bpe_digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocab), vocab))
-
-
-def bpe_digests(decoded: DataFrame) -> DataFrame:
-    return decoded.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocab).drop("ids")
 
 
 def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

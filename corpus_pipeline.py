@@ -24,8 +24,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Keeps documents in one of the languages learned from the labelled four fifths; others and wordless ones go."""
     training = F.coalesce(remainder(F.col("doc_id"), 5) != 0, F.lit(True))
     model = language_id.learn(docs, training)
-    whole = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    judged = language_id.identify(whole, model, id_col="row")
+    whole = docs.select(F.struct(*docs.columns).alias("row"))
+    judged = language_id.identify(whole, model, id_col="row", inside=True)
     kept = judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
     return kept.select("row.*")
 
@@ -62,15 +62,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit), their number and digest, and the digest of the text decoded from them."""
-    vocab = bpe.load_vocabulary(TOKENIZER)
-    decoded = bpe.decode(bpe.encode(docs, vocab), vocab)
-    return decoded.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(docs, bpe.load_vocabulary(TOKENIZER))
 
 
 STAGES = [

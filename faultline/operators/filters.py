@@ -153,17 +153,25 @@ def preview(
 ) -> DataFrame:
     """First ``n`` rows by opening time, then by the columns ``then``.
 
-    A plain top-``n`` would send ``n`` rows of every task to one. So rows are counted
-    per day of the opening time as read, and only the days that hold the first
-    ``n`` rows are sorted; rows whose time cannot be read come last.
+    A plain top-``n`` would send ``n`` wide rows of every task to one. So rows are
+    counted per day of the opening time as read, and of the days that hold the first
+    ``n`` only the sort keys are ranked; the full rows are those with one of these keys.
+    Rows whose time cannot be read come last.
     """
     first = opened_time(df, opened)
     days = df.groupBy(first.cast("date").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
     so_far = F.sum("rows").over(W.orderBy(F.col("day").asc_nulls_last()).rowsBetween(W.unboundedPreceding, W.currentRow))
     enough = days.withColumn("so_far", so_far).where((F.col("so_far") >= n) & F.col("day").isNotNull())
     last_day = enough.agg(F.min("day")).scalar()
-    df = df.where(last_day.isNull() | (first.cast("date") <= last_day))
-    return df.orderBy(first.asc_nulls_last(), *then).limit(n)
+    early = df.where(last_day.isNull() | (first.cast("date") <= last_day)).withColumn("_first", first)
+    names = ("_first", *then)
+    order = [F.col("_first").asc_nulls_last(), *then]
+    keys = early.select(*names).orderBy(*order).limit(n).distinct().select(*[F.col(c).alias(f"_key{k}") for k, c in enumerate(names)])
+    same = F.lit(True)
+    for k, c in enumerate(names):
+        same = same & F.col(c).eqNullSafe(F.col(f"_key{k}"))
+    # At most ``n`` narrow keys; the rows that match them are ``n`` and any that equal the last key.
+    return early.join(F.broadcast(keys), same, "left_semi").orderBy(*order).limit(n).drop("_first")
 
 
 def drill_through(df: DataFrame, path: str) -> DataFrame:

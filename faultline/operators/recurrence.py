@@ -17,7 +17,7 @@ KEYS = ("primary_interface", "error_family")
 SLICE_MINUTES = 10
 
 
-def _gap_ok(later: Column, earlier: Column, hours: int) -> Column:
+def within_hours(later: Column, earlier: Column, hours: int) -> Column:
     """Whether the gap is at most ``hours``; NULL when there is no earlier time."""
     return later <= F.timestamp_add("HOUR", F.lit(hours), earlier)
 
@@ -29,7 +29,7 @@ def _keyed(df: DataFrame, keys: tuple[str, ...], ts: str) -> Column:
     return present
 
 
-def _slice(ts: Column, minutes: int = 60) -> Column:
+def time_slice(ts: Column, minutes: int = 60) -> Column:
     """Number of the stretch of ``minutes`` (a part of an hour), counted from 1970-01-01."""
     hour = F.unix_date(ts.cast("date")).cast("long") * 24 + F.hour(ts)
     return hour * (60 // minutes) + F.floor(F.minute(ts) / minutes)
@@ -55,7 +55,7 @@ def add_recurrence(
     """
     keyed = _keyed(df, keys, ts)
     # Rows without a key or time never look back; by themselves they are no hot group.
-    rows = df.withColumns({"_slice": F.when(keyed, _slice(F.col(ts), SLICE_MINUTES)), "_own": F.when(~keyed, F.xxhash64(order, ts))})
+    rows = df.withColumns({"_slice": F.when(keyed, time_slice(F.col(ts), SLICE_MINUTES)), "_own": F.when(~keyed, F.xxhash64(order, ts))})
     own_slice = W.partitionBy(*keys, "_slice", "_own")
     ordered = own_slice.orderBy(ts, order)
     inside = rows.withColumns(
@@ -71,7 +71,7 @@ def add_recurrence(
     prev = F.when(F.col("_slice").isNotNull(), F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")))
     return (
         linked.withColumn("prev_time", prev)
-        .withColumn("recurs_24h", F.coalesce(_gap_ok(F.col(ts), F.col("prev_time"), hours), F.lit(False)))
+        .withColumn("recurs_24h", F.coalesce(within_hours(F.col(ts), F.col("prev_time"), hours), F.lit(False)))
         .select(*df.columns, "prev_time", "recurs_24h")
     )
 
@@ -90,14 +90,14 @@ def recurrence_pairs(
     # NULL keys are dropped after counting: a filter before it would be pushed
     # down and evaluate derived keys twice.
     slices = (
-        df.groupBy(*keys, _slice(F.col(ts)).alias("_slice"))
+        df.groupBy(*keys, time_slice(F.col(ts)).alias("_slice"))
         .agg(
             F.sum(_keyed(df, keys, ts).cast("bigint")).alias("_n"), F.min(ts).alias("_from"), F.max(ts).alias("_to")
         )
         .where(F.col("_n") > 0)
     )
     before = F.lag("_to").over(W.partitionBy(*keys).orderBy("_slice"))
-    near = F.coalesce(_gap_ok(F.col("_from"), F.col("_before"), hours), F.lit(False))
+    near = F.coalesce(within_hours(F.col("_from"), F.col("_before"), hours), F.lit(False))
     return (
         slices.withColumn("_before", before)
         .groupBy(*keys)

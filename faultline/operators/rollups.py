@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions.extract import triplet_label
 from .common import constant_table, value_counts
-from .recurrence import recurrence_pairs
+from .recurrence import KEYS, recurrence_pairs, time_slice, within_hours
 
 __all__ = [
     "by_error_family", "by_triplet", "ci_error_pairs", "dow_counts", "dow_hour_matrix", "extract_stats",
@@ -46,15 +48,41 @@ def ci_error_pairs(df: DataFrame, n: int | None = None) -> DataFrame:
     return out if n is None else out.limit(n)
 
 
-def quality_checks(df: DataFrame) -> DataFrame:
-    """One row of data-quality measures of an enriched table."""
-    recurs = F.when(F.col("is_intermittent"), F.col("recurs_24h").cast("int"))
-    return df.agg(
-        _share(F.col("primary_interface").isNull()).alias("pct_no_interface"),
-        _share(F.coalesce(F.col("error_family") == P.OTHER, F.lit(False))).alias("pct_other_error_family"),
-        F.count("stuck_files_count").alias("rows_with_stuck_files_count"),
-        F.count("stuck_for_minutes").alias("rows_with_stuck_for_minutes"),
-        F.coalesce(F.avg(recurs), F.lit(0.0)).alias("intermittent_with_recurrence_ratio"),
+def quality_checks(df: DataFrame, ts: str = "opened_dt", order: str = "number", hours: int = 24) -> DataFrame:
+    """One row of data-quality measures of an enriched table; it need not know the recurrences.
+
+    Rows are reduced to one summary per (interface, family, hour): counts, first and last
+    time, and whether the first incident is an intermittent one. In an hour all but the
+    first recur; the first does when the nearest earlier hour ends near enough. So only
+    summaries are ordered, never incidents.
+    """
+
+    def ones(flag: Column) -> Column:
+        return F.sum(F.coalesce(flag, F.lit(False)).cast("bigint"))
+
+    intermittent = F.coalesce(F.col("is_intermittent"), F.lit(False))
+    hour = df.groupBy(*KEYS, time_slice(F.col(ts)).alias("_slice")).agg(
+        F.count(F.lit(1)).alias("n"),
+        ones(F.col("primary_interface").isNull()).alias("bare"),
+        ones(F.col("error_family") == P.OTHER).alias("other"),
+        F.count("stuck_files_count").alias("files"),
+        F.count("stuck_for_minutes").alias("minutes"),
+        ones(intermittent).alias("glitches"),
+        F.min(F.struct(ts, order, intermittent.alias("glitch"))).alias("first"),
+        F.max(ts).alias("last"),
+    )
+    before = F.lag("last").over(W.partitionBy(*KEYS).orderBy("_slice"))
+    keyed = F.col("_slice").isNotNull() & F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()
+    near = F.coalesce(within_hours(F.col(f"first.{ts}"), before, hours), F.lit(False))
+    alone = F.col("first.glitch") & ~near
+    recurring = F.when(keyed, F.col("glitches") - alone.cast("bigint")).otherwise(0)
+    total, glitches = F.sum("n"), F.sum("glitches")
+    return hour.withColumn("recurring", recurring).agg(
+        F.coalesce(F.try_divide(F.sum("bare"), total), F.lit(0.0)).alias("pct_no_interface"),
+        F.coalesce(F.try_divide(F.sum("other"), total), F.lit(0.0)).alias("pct_other_error_family"),
+        F.coalesce(F.sum("files"), F.lit(0)).alias("rows_with_stuck_files_count"),
+        F.coalesce(F.sum("minutes"), F.lit(0)).alias("rows_with_stuck_for_minutes"),
+        F.coalesce(F.try_divide(F.sum("recurring"), glitches), F.lit(0.0)).alias("intermittent_with_recurrence_ratio"),
     )
 
 
@@ -120,6 +148,23 @@ def by_triplet(features: DataFrame, per_sheet: bool = False) -> DataFrame:
     return value_counts(features.withColumn("triplet", F.nullif(label, F.lit(""))), keys)
 
 
+def histograms(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
+    """As :func:`histogram` for several columns at once, told apart by ``metric``.
+
+    The columns are turned into rows, so what they are derived from is computed once;
+    values are counted before their limits are sought.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "metric", "v")
+    counts = rows.groupBy("metric", "v").agg(F.count("v").alias("n")).where(F.col("n") > 0)
+    limits = counts.groupBy("metric").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))  # one row per column named
+    width = (F.col("hi") - F.col("lo")) / bins
+    index = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1)))
+    placed = counts.join(F.broadcast(limits), "metric").withColumn("bin", F.coalesce(index, F.lit(0)).cast("bigint"))
+    counted = placed.groupBy("metric", "bin", "lo", width.alias("width")).agg(F.sum("n").alias("count"))
+    edges = [(F.col("lo") + (F.col("bin") + k) * F.col("width")).alias(name) for k, name in ((0, "lower"), (1, "upper"))]
+    return counted.select("bin", *edges, "count", "metric").orderBy("metric", "bin")
+
+
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Equal-width bins between minimum and maximum: ``bin, lower, upper, count``; empty bins left out.
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import has_match, rx, strip_ws
-from ..functions.times import opened_time
 from .common import constant_table, with_lists_exploded
+from .filters import preview
 
 
 def _scenario_tests(text: Column) -> dict[str, Column]:
@@ -83,5 +83,4 @@ def misc_samples(tagged: DataFrame, n: int = 200, order: tuple[str, ...] = ("ope
     """First ``n`` unmatched incidents by opening time, then number, unread times last, for rule review."""
     misc = scenario_tall(tagged).where(F.col("scenario") == "misc").drop("scenario")
     first, *rest = order
-    keys = [opened_time(misc, first).asc_nulls_last(), *rest]
-    return misc.orderBy(*keys).limit(n)
+    return preview(misc, first, rest, n)

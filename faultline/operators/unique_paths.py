@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -87,27 +87,45 @@ def path_dedup(with_paths: DataFrame, order: str = "opened") -> DataFrame:
     )
 
 
-def _names(column: str):
-    """Distinct non-blank values in order, joined by ``; ``."""
-    value = F.when(~is_blank(F.col(column)), F.col(column))
-    return F.array_join(F.array_sort(F.collect_set(value)), "; ")
+def path_facts(pairs: DataFrame) -> DataFrame:
+    """``path, kind, value, n``: incidents of each path (kind ``incidents``) and of its CIs, families and interfaces.
+
+    One hash aggregate over (path, kind, value), so the pairs of a hot path are spread
+    and shrink to its distinct names before anything is gathered per path.
+    """
+
+    def fact(kind: str, column: str, there: Column) -> Column:
+        return F.when(there, F.struct(F.lit(kind).alias("kind"), F.col(column).alias("value")))
+
+    facts = F.array(
+        F.struct(F.lit("incidents").alias("kind"), F.lit(None).cast("string").alias("value")),
+        fact("ci", "configuration_item", ~is_blank(F.col("configuration_item"))),
+        fact("family", "error_family", ~is_blank(F.col("error_family"))),
+        fact("interface", "primary_interface", F.col("primary_interface").isNotNull()),
+    )
+    rows = pairs.select("path", "number", F.inline(F.array_compact(facts)))
+    counted = F.when(F.col("kind") == "incidents", F.col("number").isNotNull()).otherwise(True)
+    return rows.groupBy("path", "kind", "value").agg(F.sum(counted.cast("bigint")).alias("n"))
+
+
+def _names(kind: str) -> Column:
+    """The distinct values of a kind in order, joined by ``; ``."""
+    value = F.when(F.col("kind") == kind, F.col("value"))
+    return F.array_join(F.array_sort(F.collect_list(value)), "; ")
 
 
-def top_interfaces(pairs: DataFrame, top: int = 5) -> DataFrame:
+def top_interfaces(facts: DataFrame, top: int = 5) -> DataFrame:
     """Most frequent interfaces of each path as ``name (n)``, joined by ``; ``.
 
-    Counted per (path, interface) first; the rank limit is applied before the
-    counts are shuffled by path.
+    The rank limit is applied before the counts are shuffled by path.
     """
-    ranking = W.partitionBy("path").orderBy(F.col("n").desc(), "primary_interface")
+    ranking = W.partitionBy("path").orderBy(F.col("n").desc(), "value")
     ranked = (
-        pairs.where(F.col("primary_interface").isNotNull())
-        .groupBy("path", "primary_interface")
-        .agg(F.count(F.lit(1)).alias("n"))
+        facts.where(F.col("kind") == "interface")
         .withColumn("rank", F.row_number().over(ranking))
         .where(F.col("rank") <= top)
     )
-    text = F.concat("primary_interface", F.lit(" ("), F.col("n").cast("string"), F.lit(")"))
+    text = F.concat("value", F.lit(" ("), F.col("n").cast("string"), F.lit(")"))
     items = F.array_sort(F.collect_list(F.struct("rank", text.alias("text"))))
     return ranked.groupBy("path").agg(F.array_join(items["text"], "; ").alias("top_primary_interfaces"))
 
@@ -115,15 +133,16 @@ def top_interfaces(pairs: DataFrame, top: int = 5) -> DataFrame:
 def rollup_paths(pairs: DataFrame, top: int = 5, min_count: int = 1) -> DataFrame:
     """Per path: incidents, CIs, families and top interfaces; most incidents first.
 
-    Both inputs of the join are already partitioned by path, and the shuffle
-    that de-duplicates the pairs is shared by them.
+    Both inputs of the join come from the same facts, whose shuffle they share.
     """
-    counts = pairs.groupBy("path").agg(
-        F.count("number").alias("incident_count"),
-        _names("configuration_item").alias("configuration_items"),
-        _names("error_family").alias("error_families"),
+    facts = path_facts(pairs)
+    named = facts.where(F.col("kind") != "interface")
+    counts = named.groupBy("path").agg(
+        F.coalesce(F.sum(F.when(F.col("kind") == "incidents", F.col("n"))), F.lit(0)).alias("incident_count"),
+        _names("ci").alias("configuration_items"),
+        _names("family").alias("error_families"),
     )
-    out = counts.join(top_interfaces(pairs, top), "path", "left").withColumn(
+    out = counts.join(top_interfaces(facts, top), "path", "left").withColumn(
         "top_primary_interfaces", text_or_empty(F.col("top_primary_interfaces"))
     )
     if min_count > 1:

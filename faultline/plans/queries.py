@@ -608,7 +608,7 @@ query("ci_error_pairs_top")(
         F.concat(F.coalesce("ci", F.lit("(none)")), F.lit(" × "), "error_family").alias("pair"), "count"
     )
 )
-query("quality_checks")(over(enriched, rollups.quality_checks))
+query("quality_checks")(over(enriched_rows, rollups.quality_checks))
 query("monthly_trend")(over(enriched_rows, rollups.monthly_trend))
 query("dow_counts")(over(enriched_rows, rollups.dow_counts))
 query("dow_hour_matrix")(over(enriched_rows, rollups.dow_hour_matrix))
@@ -636,11 +636,7 @@ def _(spark, sf_dir):
 
 @query("stuck_histogram")
 def _(spark, sf_dir):
-    df = helped(spark, sf_dir)
-    parts = [
-        rollups.histogram(df, c).withColumn("metric", F.lit(c)) for c in ("stuck_files_count", "stuck_for_minutes")
-    ]
-    return parts[0].unionByName(parts[1])
+    return rollups.histograms(helped(spark, sf_dir), ("stuck_files_count", "stuck_for_minutes"))
 
 
 query("filtered_top_interfaces")(

@@ -26,6 +26,8 @@ UNIQUE_PATHS_SCHEMA = T.StructType(
         for n in ("path", "incident_count", "configuration_items", "error_families", "top_primary_interfaces")
     ]
 )
+#: Before the folder name of a run that is being replaced; Spark does not see such folders.
+SET_ASIDE = "_old-"
 # CSV dialect shared by the reader and the sink: quotes doubled, line ends allowed
 # inside quotes. An empty cell, quoted or not, reads as NULL.
 CSV_OPTIONS = {
@@ -258,7 +260,7 @@ def read_group(spark: SparkSession, path: str, run_id: str, scenario: str) -> Da
 
     A scenario without rows gives an empty table.
     """
-    return group_rows(spark.read.parquet(path), run_id, scenario)
+    return group_rows(read_run(spark, path, run_id), run_id, scenario)
 
 
 def group_rows(runs: DataFrame, run_id: str, scenario: str) -> DataFrame:
@@ -273,16 +275,31 @@ def latest_run(runs: DataFrame) -> DataFrame:
 
 
 def run_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the stored runs, newest first, from the folder listing; no file is opened."""
+    """Names of the stored runs, newest first, from the folder listing; no file is opened.
+
+    A run that was set aside and whose replacement never came counts.
+    """
+    found = {n.removeprefix(SET_ASIDE) for n in _folders(spark, path)}
+    return sorted((n.removeprefix("run_id=") for n in found if n.startswith("run_id=")), reverse=True)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     folder = jvm.org.apache.hadoop.fs.Path(path)
-    found = [s.getPath().getName() for s in folder.getFileSystem(conf).listStatus(folder) if s.isDirectory()]
-    return sorted((n.removeprefix("run_id=") for n in found if n.startswith("run_id=")), reverse=True)
+    return [s.getPath().getName() for s in folder.getFileSystem(conf).listStatus(folder) if s.isDirectory()]
 
 
 def read_run(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """A stored run, by default the one whose name sorts last; other runs' files are not read."""
+    """A stored run, by default the one whose name sorts last; other runs' files are not read.
+
+    While a run is being replaced, or if that failed half-way, the old one is read where it was set aside.
+    """
     name = run_names(spark, path)[0] if run_id is None else run_id
+    folders = set(_folders(spark, path))
+    if f"run_id={name}" not in folders and (aside := f"{SET_ASIDE}run_id={name}") in folders:
+        old = spark.read.parquet(f"{path}/{aside}")
+        kept = [c for c in old.columns if c != "scenario"]
+        return old.select(*kept, F.lit(name).alias("run_id"), "scenario")
     return spark.read.parquet(path).where(F.col("run_id") == name)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from .readers import CSV_OPTIONS
+from .readers import CSV_OPTIONS, SET_ASIDE
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
@@ -30,7 +30,11 @@ def or_unknown(c: Column) -> Column:
 
 
 def _replace_runs(written: DataFrame, path: str, staged: str) -> None:
-    """Move each run folder below ``staged`` to ``path`` in place of the run of that name."""
+    """Move each run folder below ``staged`` to ``path`` in place of the run of that name.
+
+    The old run is set aside under a hidden name first and deleted last. Whatever step
+    fails, readers find either the new run or the one set aside.
+    """
     spark = written.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
@@ -39,16 +43,25 @@ def _replace_runs(written: DataFrame, path: str, staged: str) -> None:
         run = status.getPath()
         if status.isDirectory():
             place = jvm.org.apache.hadoop.fs.Path(target, run.getName())
-            files.delete(place, True)
-            files.rename(run, place)
+            aside = jvm.org.apache.hadoop.fs.Path(target, SET_ASIDE + run.getName())
+            if files.exists(place):
+                files.delete(aside, True)
+                _renamed(files, place, aside)
+            _renamed(files, run, place)
+            files.delete(aside, True)
     files.delete(source, True)
 
 
+def _renamed(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def write_run(tall: DataFrame, path: str, run_id: str | None = None, max_records: int = 2_000_000) -> None:
     """Tall scenario table as ``run_id=/scenario=`` folders; a run of the same name is replaced whole, others stay.
 
     The run is written beside its place and moved there when it is complete, so a
-    scenario without rows now leaves none from before.
+    scenario without rows now leaves none from before, and readers always find a whole run.
 
     Rows are rebalanced by folder: adaptive execution splits a dominant scenario
     over as many tasks as its size asks for and merges the rare ones, so neither

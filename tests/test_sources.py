@@ -271,3 +271,54 @@ def test_ci_lookup_goes_by_the_heading_of_each_file(spark, folder):
 def test_numbered_counts_over_ranges(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("id")).repartition(7)
     assert [(r.id, r.position) for r in readers.numbered(df, "id").orderBy("id").collect()] == [(k, k) for k in range(1000)]
+
+
+@pytest.mark.parametrize("failing", [1, 2])
+def test_a_run_stays_readable_when_its_replacement_fails(spark, folder, monkeypatch, failing):
+    old = spark.createDataFrame([(1, "misc"), (2, "warnings")], "id long, scenario string")
+    new = spark.createDataFrame([(3, "misc")], "id long, scenario string")
+    path = f"{folder}/runs"
+    sinks.write_run(old, path, "r")
+    renamed, calls = sinks._renamed, []
+
+    def fail(*args):
+        calls.append(args)
+        if len(calls) == failing:
+            raise OSError("lost")
+        renamed(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_renamed", fail)
+        with pytest.raises(OSError):
+            sinks.write_run(new, path, "r")
+    assert readers.run_names(spark, path) == ["r"]
+    back = readers.read_run(spark, path)
+    assert back.columns == ["id", "run_id", "scenario"]
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "r", "misc"), (2, "r", "warnings")]
+    assert [r.id for r in readers.read_group(spark, path, "r", "warnings").collect()] == [2]
+    sinks.write_run(new, path, "r")
+    assert [tuple(r) for r in readers.read_run(spark, path).collect()] == [(3, "r", "misc")]
+
+
+def test_quality_checks_equal_those_of_row_by_row_recurrence(spark):
+    import random
+
+    from faultline.operators.recurrence import add_recurrence
+
+    rng = random.Random(6)
+    times = [datetime(2024, 1, 1 + rng.randint(0, 9), rng.randint(0, 23), rng.choice([0, 0, 30]), 0) for _ in range(60)]
+    rows = [
+        (f"n{i}", rng.choice(["E1", "E2", None]), rng.choice(["a", "other", None]), rng.choice([*times, None]), rng.random() < 0.4, None, i % 3 or None)
+        for i in range(400)
+    ]
+    schema_ = "number string, primary_interface string, error_family string, opened_dt timestamp_ntz, is_intermittent boolean, stuck_files_count long, stuck_for_minutes long"
+    df = spark.createDataFrame(rows, schema_)
+    got = rollups.quality_checks(df).first()
+    full = add_recurrence(df).collect()
+    glitches = [r for r in full if r.is_intermittent]
+    assert got.intermittent_with_recurrence_ratio == pytest.approx(sum(r.recurs_24h for r in glitches) / len(glitches))
+    assert got.pct_no_interface == pytest.approx(sum(r.primary_interface is None for r in full) / 400)
+    assert got.pct_other_error_family == pytest.approx(sum(r.error_family == "other" for r in full) / 400)
+    assert (got.rows_with_stuck_files_count, got.rows_with_stuck_for_minutes) == (0, sum(r[6] is not None for r in rows))
+    plan = rollups.quality_checks(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") == 1

@@ -114,11 +114,15 @@ def _names(kind: str) -> Column:
     return F.array_join(F.array_sort(F.collect_list(value)), "; ")
 
 
-def top_interfaces(facts: DataFrame, top: int = 5) -> DataFrame:
+def top_interfaces(pairs: DataFrame, top: int = 5) -> DataFrame:
     """Most frequent interfaces of each path as ``name (n)``, joined by ``; ``.
 
     The rank limit is applied before the counts are shuffled by path.
     """
+    return _top_of(path_facts(pairs), top)
+
+
+def _top_of(facts: DataFrame, top: int) -> DataFrame:
     ranking = W.partitionBy("path").orderBy(F.col("n").desc(), "value")
     ranked = (
         facts.where(F.col("kind") == "interface")
@@ -142,7 +146,7 @@ def rollup_paths(pairs: DataFrame, top: int = 5, min_count: int = 1) -> DataFram
         _names("ci").alias("configuration_items"),
         _names("family").alias("error_families"),
     )
-    out = counts.join(top_interfaces(facts, top), "path", "left").withColumn(
+    out = counts.join(_top_of(facts, top), "path", "left").withColumn(
         "top_primary_interfaces", text_or_empty(F.col("top_primary_interfaces"))
     )
     if min_count > 1:

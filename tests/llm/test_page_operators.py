@@ -251,7 +251,7 @@ def test_pipeline_runs_through_the_registry(spark, sf_dir):
 
 def test_registry_names_each_operator():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)", n)[1]) for n in names) == list(range(1, 14))
 
 
 def test_the_rest_imports_without_these_operators():

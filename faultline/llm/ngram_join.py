@@ -8,21 +8,24 @@
    rest of the order, by hash, meets mostly rare ones. (The list of common shingles
    steers the work only; the result does not depend on it.)
 3. Nodes sharing such a shingle, of about the same size, form a tile: key is shingle
-   and size band, and a node near a band's end also visits the next. Very large tiles
-   are cut into pairs of blocks. Inside a tile hashed bitmaps bound each overlap from
-   above: a bit of one side that the other lacks is a shingle it lacks.
+   and size band, and a node near a band's end also visits the next. Shingles that the
+   very same nodes have make one tile, so two long near copies meet once or a few times
+   and not at every shingle. Large tiles are cut into pairs of blocks, by rows and by
+   shingles. Inside a tile hashed bitmaps of at least four bits a shingle bound each
+   overlap from above: a bit of one side that the other lacks is a shingle it lacks.
 4. Pairs that pass are verified by intersecting the sorted arrays. A node offers the
    ``OFFERS`` passing partners whose bitmaps are closest; links found make components.
-   Where a node had more, its tiles are gone through again: once for the closest
-   partners in other components, then for all passing pairs between components, each
-   in the tile of its first common shingle only. So no link can be missed, while a
-   large group of copies never becomes all its pairs.
+   Where a node had more, its tiles are gone through once more, with the sets: every
+   pair that passes, in the tile of its first common shingle only, is verified on the
+   spot unless its two sides are joined already. A tile gives at most a spanning set of
+   links, so no link that matters is missed, while a large group of copies or of
+   almost-copies never becomes its pairs.
 
 Defined cases: NULL text, or text without a word, has an empty set, linked with
 nothing. Fewer words than a shingle make one shingle. Rows sharing an id are separate
 documents; a NULL id is never a component's name if another id is in it. Two sets
 share a 64-bit node hash, or two shingles a hash, with negligible chance (about
-n^2 / 2^65 over n distinct ones). Only the id and text columns are read.
+n^2 / 2^65 over n distinct ones), two tiles' node lists their 128 bits even less. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -43,8 +46,10 @@ COMMON_LEAST = 4
 COMMON_MOST = 1 << 20
 BAND_RATIO = 0.8**4
 BLOCK = 1024
+BLOCK_SHINGLES = 4 << 20
 OFFERS = 4
 TILE_ROWS = 20_000
+TILE_BYTES = 32 << 20
 PAIRS = 1 << 19
 FLUSH = 1 << 21
 NEEDED_BITS = 23
@@ -60,8 +65,8 @@ def prefix_length(n: int) -> int:
 
 
 def bitmap_bits(n: int) -> int:
-    """Bits of a set's bitmap: the power of two from its size."""
-    return max(64, 1 << (n - 1).bit_length())
+    """Bits of a set's bitmap: the power of two from four times its size."""
+    return max(64, 1 << (4 * n - 1).bit_length())
 
 
 def bitmap(found: np.ndarray) -> bytes:
@@ -154,19 +159,29 @@ def band(n: Column) -> Column:
 
 
 def shared_tokens(signed: DataFrame) -> DataFrame:
-    """``token`` and ``node`` of the prefix shingles that more than one node has."""
-    offers = signed.where("prefix is not null").select(F.explode("prefix").alias("token"), "node")
+    """``token``, ``node`` and ``n`` of the prefix shingles that more than one node has."""
+    offers = signed.where("prefix is not null").select(F.explode("prefix").alias("token"), "node", "n")
     order = Window.partitionBy("token").orderBy("node")
     near = [f("node").over(order) for f in (F.lag, F.lead)]
     repeated = offers.withColumns({"before": near[0], "after": near[1]}).where("before <> node or after <> node")
-    return repeated.select("token", "node").distinct()
+    return repeated.select("token", "node", "n").distinct()
 
 
-def tiles(repeated: DataFrame, signed: DataFrame) -> DataFrame:
-    """Rows ``token``, ``band``, ``k``, ``l`` (blocks), ``block``, ``node``, ``n``, ``bits`` of all tiles."""
-    large = repeated.groupBy("token").count().where(F.col("count") > BLOCK)
-    large = large.select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    details = signed.where("bits is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+def unlike_tokens(repeated: DataFrame) -> DataFrame:
+    """``repeated`` with one token, the smallest, of those that have the same nodes; nodes that meet still meet."""
+    hashes = [F.xxhash64("node"), F.xxhash64("node", F.lit(1))]
+    lists = repeated.groupBy("token").agg(F.count("*").alias("nodes"), *[F.bit_xor(h).alias(f"h{k}") for k, h in enumerate(hashes)])
+    chosen = lists.groupBy("nodes", "h0", "h1").agg(F.min("token").alias("token")).select("token")
+    return repeated.join(chosen, "token", "left_semi")
+
+
+def tiles(repeated: DataFrame, signed: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """Rows ``token``, ``band``, ``k``, ``l`` (blocks), ``block``, ``node``, ``n``, ``bits`` of all tiles; ``shingles`` too if there are ``sets``."""
+    size = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    large = repeated.groupBy("token").agg(size.alias("blocks")).where("blocks > 1")
+    details = signed.where("bits is not null").groupBy("node").agg(F.first("bits").alias("bits"))
+    if sets is not None:
+        details = details.join(sets, "node")
     blocks = F.coalesce("blocks", F.lit(1))
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     cells = F.transform(
@@ -177,9 +192,10 @@ def tiles(repeated: DataFrame, signed: DataFrame) -> DataFrame:
     return (
         repeated.join(large, "token", "left")
         .withColumns({"block": own, "cell": F.explode(cells)})
-        .select("token", "node", "block", "cell.k", "cell.l")
+        .select("token", "node", "block", "cell.k", "cell.l", "n")
         .join(details, "node")
-        .select("token", "node", "block", "k", "l", "n", "bits", F.explode(bands).alias("band"))
+        .withColumn("band", F.explode(bands))
+        .drop("cell")
     )
 
 
@@ -262,11 +278,11 @@ def closest(nodes: np.ndarray, share: np.ndarray, most: int) -> tuple[np.ndarray
     return chosen, np.unique(ranked[rank >= most])
 
 
-def tile_offers(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes], most: int | None, met=None):
+def tile_offers(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes], most: int):
     """Passing node pairs of whole tiles, and the nodes that had more than ``most`` partners."""
     nodes, local = np.unique(cols["node"], return_inverse=True)
     known = np.zeros(0, np.int64)
-    for left, right in size_pairs(key, cols, met):
+    for left, right in size_pairs(key, cols):
         a, b = np.minimum(local[left], local[right]), np.maximum(local[left], local[right])
         code, first = np.unique(a * len(nodes) + b, return_index=True)
         fresh = first[~np.isin(code, known)]
@@ -279,31 +295,57 @@ def tile_offers(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes],
         ok = bound >= least
         a, b, share = a[fresh][ok], b[fresh][ok], bound[ok] / least[ok]
         more = np.zeros(0, np.int64)
-        if most is not None and len(a):
+        if len(a):
             chosen, more = closest(np.concatenate([a, b]), np.concatenate([share, share]), most)
             chosen = chosen[: len(a)] | chosen[len(a) :]
             a, b = a[chosen], b[chosen]
         yield nodes[a], nodes[b], nodes[more]
 
 
-def candidates(tile_rows: DataFrame, labels: DataFrame | None, most: int | None) -> DataFrame:
-    """Distinct pairs ``a``, ``b`` that pass in some tile, between components if there are ``labels``.
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Exact number of common values of two sorted arrays without repeats."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return int((y[at] == x).sum())
 
-    With ``most``, only so many per node, the closest; a row with NULL ``a`` then says
-    that node ``b`` had more.
-    """
-    rows = tile_rows.withColumn("label", F.col("node"))
-    if labels is not None:
-        rows = tile_rows.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+
+def tile_links(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes], sets: list[bytes], met: dict[int, np.ndarray]):
+    """Verified node pairs of whole tiles that join different components: at most a spanning set of them."""
+    _, own = np.unique(cols["label"], return_inverse=True)
+    root = np.arange(own.max() + 1)
+    arrays = [np.frombuffer(x, np.uint64) for x in sets]
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for left, right in size_pairs(key, cols, met):
+        while (root[root] != root).any():
+            root[:] = root[root]
+        apart = root[own[left]] != root[own[right]]
+        left, right = left[apart], right[apart]
+        least = least_overlap(cols["n"][left], cols["n"][right])
+        bound = bounds(cols["n"], bits, left, right)
+        ok = np.flatnonzero(bound >= least)
+        ok = ok[np.argsort(-(bound[ok] / least[ok]), kind="stable")]
+        a, b = [], []
+        for i, j, need in zip(left[ok].tolist(), right[ok].tolist(), least[ok].tolist(), strict=True):
+            x, y = find(own[i]), find(own[j])
+            if x != y and overlap(arrays[i], arrays[j]) >= need:
+                root[max(x, y)] = min(x, y)
+                a.append(i)
+                b.append(j)
+        yield cols["node"][a], cols["node"][b]
+
+
+def whole_tiles(rows: DataFrame, solve) -> DataFrame:
+    """``a, b`` from ``solve(cols, key, lists)`` on complete tiles, a bounded number of rows and bytes at a time."""
     key = ["token", "band", "k", "l"]
-    once = labels is not None
-    columns = [*key, "block", "node", "n", "label", "bits"]
-    if labels is not None:
-        # The tokens by which a node may meet others: a pair then counts in the tile of its first common one only.
-        own = tile_rows.groupBy("node").agg(F.array_sort(F.collect_set("token")).alias("own"))
-        rows = rows.join(own, "node")
-        columns.append("own")
-    rows = rows.repartition(*key).sortWithinPartitions(*key).select(*columns)
+    wide = ("bits", "own", "shingles")
+    rows = rows.select(*key, "block", "node", "n", "label", *[c for c in wide if c in rows.columns])
+    rows = rows.repartition(*key).sortWithinPartitions(*key)
 
     def make():
         held: list[pa.RecordBatch] = []
@@ -311,40 +353,65 @@ def candidates(tile_rows: DataFrame, labels: DataFrame | None, most: int | None)
         def close(last: bool):
             table = pa.Table.from_batches(held).combine_chunks()
             held.clear()
-            cols = {n: table.column(n).to_numpy() for n in table.column_names if n not in ("bits", "own")}
+            cols = {n: table.column(n).to_numpy() for n in table.column_names if n not in wide}
             new = np.r_[True, np.logical_or.reduce([cols[k][1:] != cols[k][:-1] for k in key])]
             cut = len(new) if last else int(np.flatnonzero(new)[-1])
             if cut < len(new):
                 held.extend(table.slice(cut).to_batches())
+            step.rows, step.bytes = len(new) - cut, sum(b.nbytes for b in held)
             if not cut:
                 return
-            cols = {n: v[:cut] for n, v in cols.items()}
-            bits = table.column("bits").slice(0, cut).to_pylist()
-            number, met = np.cumsum(new[:cut]), None
-            if once:
-                met = met_before(number, cols["token"], table.column("own").slice(0, cut).to_pylist())
-            for a, b, more in tile_offers(cols, number, bits, most, met):
-                left = pa.concat_arrays([pa.array(a), pa.nulls(len(more), pa.int64())])
-                yield pa.RecordBatch.from_arrays([left, pa.array(np.concatenate([b, more]))], ["a", "b"])
+            lists = {n: table.column(n).slice(0, cut).to_pylist() for n in wide if n in table.column_names}
+            for a, b in solve({n: v[:cut] for n, v in cols.items()}, np.cumsum(new[:cut]), lists):
+                yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
 
         def step(batch: pa.RecordBatch):
             held.append(batch)
-            if sum(b.num_rows for b in held) >= TILE_ROWS:
+            step.rows += batch.num_rows
+            step.bytes += batch.nbytes
+            if step.rows >= TILE_ROWS or step.bytes >= TILE_BYTES:
                 yield from close(False)
 
+        step.rows = step.bytes = 0
         step.end = lambda: close(True) if held else ()
         return step
 
     return arrow_stage(rows, make, "a long, b long").distinct()
 
 
-def sets_of(rows: DataFrame, signed: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """``node`` and ``shingles`` (binary) of the nodes in ``pairs``, hashed again from one text each.
+def candidates(tile_rows: DataFrame, most: int) -> DataFrame:
+    """Distinct pairs ``a``, ``b`` that pass in some tile, of each node only the ``most`` closest there.
+
+    A row with NULL ``a`` says that node ``b`` had more.
+    """
+
+    def solve(cols, key, lists):
+        for a, b, more in tile_offers(cols, key, lists["bits"], most):
+            yield pa.concat_arrays([pa.array(a), pa.nulls(len(more), pa.int64())]), pa.array(np.concatenate([b, more]))
+
+    return whole_tiles(tile_rows.withColumn("label", F.col("node")), solve)
+
+
+def missing_links(again: DataFrame, signed: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Verified links between the components ``labels`` in the tiles of ``again``, enough to join all that belong together."""
+    # The tokens by which a node may meet others: a pair then counts in the tile of its first common one only.
+    own = again.groupBy("node").agg(F.array_sort(F.collect_set("token")).alias("own"))
+    rows = tiles(again, signed, sets).join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).join(own, "node")
+
+    def solve(cols, key, lists):
+        met = met_before(key, cols["token"], lists["own"])
+        for a, b in tile_links(cols, key, lists["bits"], lists["shingles"], met):
+            yield pa.array(a), pa.array(b)
+
+    return whole_tiles(rows, solve)
+
+
+def sets_of(rows: DataFrame, signed: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """``node`` and ``shingles`` (binary) of the distinct ``nodes``, hashed again from one text each.
 
     The scan skips texts by a bit table of fixed size over the ids needed; a join then
     keeps the nodes needed.
     """
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     slot = F.pmod(F.xxhash64("id"), F.lit(1 << NEEDED_BITS))
     owners = signed.select("node", slot.alias("slot")).join(nodes, "node").groupBy("node").agg(F.min("slot").alias("slot"))
     masks = owners.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int))) as m"))
@@ -392,8 +459,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = []
             for x, y in zip(rows["x"], rows["y"], strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append(int((y[at] == x).sum()) >= least_overlap(len(x), len(y)))
+                keep.append(overlap(x, y) >= least_overlap(len(x), len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return step
@@ -405,22 +471,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """One row per document: its id, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = stored(signed_sets(rows, common_shingles(rows, size), size), "sets")
-    shared = stored(shared_tokens(signed), "tokens")
-    tried = links = found = None
-    again = shared
-    for most in (OFFERS, OFFERS, None):
-        offers = stored(candidates(tiles(again, signed), found, most), "pairs")
-        pairs = offers.where("a is not null")
-        if tried is not None:
-            pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        new = stored(verified(pairs, sets_of(rows, signed, pairs, size)), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
-        found = stored(components(links), "components")
-        busy = offers.where("a is null").select(F.col("b").alias("node"))
-        if not busy.limit(1).count():
-            break
-        again = stored(again.join(again.join(busy, "node", "left_semi").select("token").distinct(), "token", "left_semi"), "tokens")
+    shared = stored(unlike_tokens(stored(shared_tokens(signed), "tokens")), "tokens")
+    offers = stored(candidates(tiles(shared, signed), OFFERS), "pairs")
+    pairs = offers.where("a is not null")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    links = stored(verified(pairs, sets_of(rows, signed, nodes, size)), "links")
+    found = stored(components(links), "components")
+    busy = offers.where("a is null").select(F.col("b").alias("node"))
+    if busy.limit(1).count():
+        again = stored(shared.join(shared.join(busy, "node", "left_semi").select("token").distinct(), "token", "left_semi"), "tokens")
+        sets = sets_of(rows, signed, again.select("node").distinct(), size)
+        more = stored(missing_links(again, signed, sets, found), "links")
+        found = stored(components(links.unionByName(more)), "components")
     members = signed.select("id", "node", "n").join(found, "node", "left")
     named = members.withColumn("class", F.coalesce("component", "node"))
     smallest = named.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))

@@ -15,11 +15,12 @@
    overlap from above: a bit of one side that the other lacks is a shingle it lacks.
 4. Pairs that pass are verified by intersecting the sorted arrays. A node offers the
    ``OFFERS`` passing partners whose bitmaps are closest; links found make components.
-   Where a node had more, its tiles are gone through once more, with the sets: every
-   pair that passes, in the tile of its first common shingle only, is verified on the
-   spot unless its two sides are joined already. A tile gives at most a spanning set of
-   links, so no link that matters is missed, while a large group of copies or of
-   almost-copies never becomes its pairs.
+   Where a node had more, its tiles are gone through once more: the bitmaps tell which
+   nodes have passing partners in other components, each pair in the tile of its first
+   common shingle only. The sets of these nodes then come to the tile, and pairs are
+   verified on the spot unless their two sides are joined already. A tile gives at most
+   a spanning set of links, so no link that matters is missed, while a large group of
+   copies or of almost-copies never becomes its pairs.
 
 Defined cases: NULL text, or text without a word, has an empty set, linked with
 nothing. Fewer words than a shingle make one shingle. Rows sharing an id are separate
@@ -175,13 +176,11 @@ def unlike_tokens(repeated: DataFrame) -> DataFrame:
     return repeated.join(chosen, "token", "left_semi")
 
 
-def tiles(repeated: DataFrame, signed: DataFrame, sets: DataFrame | None = None) -> DataFrame:
-    """Rows ``token``, ``band``, ``k``, ``l`` (blocks), ``block``, ``node``, ``n``, ``bits`` of all tiles; ``shingles`` too if there are ``sets``."""
+def tiles(repeated: DataFrame, signed: DataFrame) -> DataFrame:
+    """Rows ``token``, ``band``, ``k``, ``l`` (blocks), ``block``, ``node``, ``n``, ``bits`` of all tiles."""
     size = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     large = repeated.groupBy("token").agg(size.alias("blocks")).where("blocks > 1")
     details = signed.where("bits is not null").groupBy("node").agg(F.first("bits").alias("bits"))
-    if sets is not None:
-        details = details.join(sets, "node")
     blocks = F.coalesce("blocks", F.lit(1))
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     cells = F.transform(
@@ -310,18 +309,19 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def tile_links(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes], sets: list[bytes], met: dict[int, np.ndarray]):
+def tile_links(cols: dict[str, np.ndarray], key: np.ndarray, sets: list[bytes]):
     """Verified node pairs of whole tiles that join different components: at most a spanning set of them."""
     _, own = np.unique(cols["label"], return_inverse=True)
     root = np.arange(own.max() + 1)
     arrays = [np.frombuffer(x, np.uint64) for x in sets]
+    bits = [bitmap(x) for x in arrays]
 
     def find(x: int) -> int:
         while root[x] != x:
             root[x] = x = root[root[x]]
         return x
 
-    for left, right in size_pairs(key, cols, met):
+    for left, right in size_pairs(key, cols):
         while (root[root] != root).any():
             root[:] = root[root]
         apart = root[own[left]] != root[own[right]]
@@ -340,12 +340,16 @@ def tile_links(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes],
         yield cols["node"][a], cols["node"][b]
 
 
-def whole_tiles(rows: DataFrame, solve) -> DataFrame:
-    """``a, b`` from ``solve(cols, key, lists)`` on complete tiles, a bounded number of rows and bytes at a time."""
+CELL = "token long, band int, k int, l int, block int, node long, n long, label long"
+
+
+def whole_tiles(rows: DataFrame, solve, schema: str = "a long, b long") -> DataFrame:
+    """What ``solve(cols, key, lists)`` yields for complete tiles, a bounded number of rows and bytes at a time."""
     key = ["token", "band", "k", "l"]
     wide = ("bits", "own", "shingles")
     rows = rows.select(*key, "block", "node", "n", "label", *[c for c in wide if c in rows.columns])
     rows = rows.repartition(*key).sortWithinPartitions(*key)
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def make():
         held: list[pa.RecordBatch] = []
@@ -362,8 +366,8 @@ def whole_tiles(rows: DataFrame, solve) -> DataFrame:
             if not cut:
                 return
             lists = {n: table.column(n).slice(0, cut).to_pylist() for n in wide if n in table.column_names}
-            for a, b in solve({n: v[:cut] for n, v in cols.items()}, np.cumsum(new[:cut]), lists):
-                yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+            for found in solve({n: v[:cut] for n, v in cols.items()}, np.cumsum(new[:cut]), lists):
+                yield pa.RecordBatch.from_arrays(list(found), names)
 
         def step(batch: pa.RecordBatch):
             held.append(batch)
@@ -376,7 +380,7 @@ def whole_tiles(rows: DataFrame, solve) -> DataFrame:
         step.end = lambda: close(True) if held else ()
         return step
 
-    return arrow_stage(rows, make, "a long, b long").distinct()
+    return arrow_stage(rows, make, schema)
 
 
 def candidates(tile_rows: DataFrame, most: int) -> DataFrame:
@@ -389,21 +393,35 @@ def candidates(tile_rows: DataFrame, most: int) -> DataFrame:
         for a, b, more in tile_offers(cols, key, lists["bits"], most):
             yield pa.concat_arrays([pa.array(a), pa.nulls(len(more), pa.int64())]), pa.array(np.concatenate([b, more]))
 
-    return whole_tiles(tile_rows.withColumn("label", F.col("node")), solve)
+    return whole_tiles(tile_rows.withColumn("label", F.col("node")), solve).distinct()
 
 
-def missing_links(again: DataFrame, signed: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Verified links between the components ``labels`` in the tiles of ``again``, enough to join all that belong together."""
+def open_cells(again: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Tile rows (``CELL``) of the nodes that have, in that tile, a passing partner in another component."""
     # The tokens by which a node may meet others: a pair then counts in the tile of its first common one only.
     own = again.groupBy("node").agg(F.array_sort(F.collect_set("token")).alias("own"))
-    rows = tiles(again, signed, sets).join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).join(own, "node")
+    rows = tiles(again, signed).join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).join(own, "node")
+
+    def solve(cols, key, lists):
+        needed = np.zeros(len(key), bool)
+        for left, right in size_pairs(key, cols, met_before(key, cols["token"], lists["own"])):
+            fresh = ~(needed[left] & needed[right])
+            left, right = left[fresh], right[fresh]
+            ok = bounds(cols["n"], lists["bits"], left, right) >= least_overlap(cols["n"][left], cols["n"][right])
+            needed[left[ok]] = needed[right[ok]] = True
+        yield [pa.array(cols[x.split()[0]][needed]) for x in CELL.split(", ")]
+
+    return whole_tiles(rows, solve, CELL)
+
+
+def missing_links(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links inside the tiles of ``cells``, enough to join all labels that belong together."""
 
     def solve(cols, key, lists):
-        met = met_before(key, cols["token"], lists["own"])
-        for a, b in tile_links(cols, key, lists["bits"], lists["shingles"], met):
+        for a, b in tile_links(cols, key, lists["shingles"]):
             yield pa.array(a), pa.array(b)
 
-    return whole_tiles(rows, solve)
+    return whole_tiles(cells.join(sets, "node"), solve).distinct()
 
 
 def sets_of(rows: DataFrame, signed: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -480,8 +498,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     busy = offers.where("a is null").select(F.col("b").alias("node"))
     if busy.limit(1).count():
         again = stored(shared.join(shared.join(busy, "node", "left_semi").select("token").distinct(), "token", "left_semi"), "tokens")
-        sets = sets_of(rows, signed, again.select("node").distinct(), size)
-        more = stored(missing_links(again, signed, sets, found), "links")
+        cells = stored(open_cells(again, signed, found), "cells")
+        more = stored(missing_links(cells, sets_of(rows, signed, cells.select("node").distinct(), size)), "links")
         found = stored(components(links.unionByName(more)), "components")
     members = signed.select("id", "node", "n").join(found, "node", "left")
     named = members.withColumn("class", F.coalesce("component", "node"))

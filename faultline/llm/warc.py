@@ -29,6 +29,9 @@ from faultline.llm.common import arrow_stage
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
 ARCHIVE_BYTES = 4 << 20
+#: Bytes handed to the decoder at first, and at most, per step within a frame.
+FRAME_STEP = 4096
+MOST_STEP = 1 << 20
 RECORD_SCHEMA = (
     "record_id string, record_type string, target string, refers_to string, payload_bytes long, "
     "payload_digest string, payload binary, problem string"
@@ -180,18 +183,29 @@ def parse_record(raw: bytes) -> dict:
     }
 
 
+def next_frame(decoder: zstandard.ZstdDecompressor, content: memoryview, at: int) -> tuple[bytes, int]:
+    """The frame at ``at`` and where the next begins; what is read does not grow with the rest of the archive."""
+    one = decoder.decompressobj()
+    parts, step = [], FRAME_STEP
+    while at < len(content) and not one.eof:
+        piece = content[at : at + step]
+        parts.append(one.decompress(piece))
+        at += len(piece)
+        step = min(2 * step, MOST_STEP)
+    if not one.eof:
+        raise ValueError("the last frame is cut off")
+    return b"".join(parts), at - len(one.unused_data)
+
+
 def records_of(content: bytes):
     """Parsed records of one archive, a broken one as a row with ``problem``; reading ends at a broken frame."""
     empty = dict.fromkeys(x.split()[0] for x in RECORD_SCHEMA.split(", "))
     try:
         raw, at = leading_dictionary(content)
         decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw)) if raw else zstandard.ZstdDecompressor()
+        view = memoryview(content)
         while at < len(content):
-            one = decoder.decompressobj()
-            whole = one.decompress(memoryview(content)[at:])
-            if not one.eof:
-                raise ValueError("the last frame is cut off")
-            at = len(content) - len(one.unused_data)
+            whole, at = next_frame(decoder, view, at)
             try:
                 yield parse_record(whole)
             except ValueError as e:

@@ -260,3 +260,18 @@ def test_the_rest_imports_without_these_operators():
         "import __spark_entry__ as e; assert 'pipeline' not in e.queries() and len(e.queries()) > 100 and e.oracle_sql()"
     )
     subprocess.run([sys.executable, "-c", code], check=True, cwd=entry.__file__.rsplit("/", 1)[0])
+
+
+def test_large_archives_are_read_in_linear_time():
+    payload = random.Random(5).randbytes(3_000_000)
+    small = [warc.record(str(k), "u", b"x" * (k % 7), "response", None) for k in range(30_000)]
+    compressor = zstandard.ZstdCompressor()
+    content = b"".join(map(compressor.compress, [*small, warc.record("big", "u", payload, "response", None)]))
+    began, steps = 0, 0
+    decoder = zstandard.ZstdDecompressor()
+    while began < len(content):
+        whole, began = warc.next_frame(decoder, memoryview(content), began)
+        steps += 1
+    assert steps == 30_001 and warc.parse_record(whole)["payload"] == payload
+    with pytest.raises(ValueError):
+        warc.next_frame(decoder, memoryview(content[:-1]), content.rindex(b"\x28\xb5\x2f\xfd"))

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import ahocorasick
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.extract import basename
 from ..functions.text import strip_ws
 from ..functions.times import opened_time
-from ..session import ship_package
+from ..session import written
 from .common import with_lists_exploded
 
 INCIDENT_TEXT = ("short_description", "paths", "error_codes", "resolution_notes")
@@ -185,56 +183,61 @@ def drill_through(df: DataFrame, path: str) -> DataFrame:
     return df.where(hit)
 
 
-# Text of the paths searched for at once; a fixed amount, whatever the size of the table.
-BLOCK_CHARS = 8 << 20
+# A path of GRAM characters or more is known by one of its grams of that length, a shorter one by itself.
+GRAM = 6
+BLOCK_CHARS = 1 << 16  # characters of a text whose grams are made at once
 
 
 def drill_through_all(df: DataFrame, paths: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``path, matching_incidents`` for every path of a path table.
 
-    Same test as :func:`drill_through`, right for any path. The path table is taken
-    in blocks of bounded size. All paths of a block are sought in one pass over a
-    text, in time and memory linear in the text; a task sums its incidents per path
-    before anything is shuffled.
+    Same test as :func:`drill_through`, right for any path. Each path has one anchor:
+    of its grams the one that the fewest paths share. A text holding the path holds its
+    anchor, so an equi-join on the anchor's hash gives every candidate pair, which is
+    then tested on the whole text. Only row numbers and hashes meet in that join (16
+    bytes a character where Spark does not broadcast the anchors), the texts are joined
+    by row afterwards; both tables may be of any size.
     """
-    spark = df.sparkSession
-    ship_package(spark)
-    cells = [F.lower(F.col(c)).alias(c) for c in DRILL_TEXT if c in df.columns]
-    keyed = paths.select("path", F.lower("path").alias("key"))
-    sought = keyed.where("key <> ''").select("key").distinct()
-    chars = sought.agg(F.coalesce(F.sum(F.length("key")), F.lit(0))).first()[0]
-    blocks = int(chars) // block_chars + 1
-    counted = spark.createDataFrame([], "key string, n long")
-    for k in range(blocks if cells else 0):
-        keys = [r[0] for r in sought.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k).collect()]
-        if keys:
-            found = df.select(*cells).mapInArrow(_counter(spark.sparkContext.broadcast(keys)), "key string, n long")
-            counted = counted.unionByName(found)
-    counted = counted.groupBy("key").agg(F.sum("n").alias("n"))
-    return (
-        keyed.join(counted, "key", "left")
-        .select("path", F.coalesce("n", F.lit(0)).alias("matching_incidents"))
-        .orderBy(F.col("matching_incidents").desc(), "path")
+    keyed = written(paths.select("path", F.lower("path").alias("key")), "drill-paths")
+    keys = keyed.where("key <> ''").select("key").distinct()
+    names = [c for c in DRILL_TEXT if c in df.columns]
+    if names:
+        cells = df.select(F.monotonically_increasing_id().alias("id"), *[F.lower(F.col(c)).alias(c) for c in names])
+        rows = written(cells.where(F.coalesce(*names).isNotNull()), "drill")
+        short = keys.where(F.length("key") < GRAM).select(F.length("key").alias("n")).distinct()
+        lengths = sorted(r.n for r in short.collect())  # fewer than GRAM numbers
+        texts = rows.select("id", F.explode(F.array(*names)).alias("text"))
+        candidates = _grams(texts, "id", block_chars, lengths).join(_anchors(keys, block_chars), "gram").select("id", "key").distinct()
+        hit = F.lit(False)
+        for c in names:
+            hit = hit | F.coalesce(F.col(c).contains(F.col("key")), F.lit(False))
+        counted = candidates.join(rows, "id").where(hit).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        keyed = keyed.join(counted, "key", "left")
+    else:
+        keyed = keyed.withColumn("n", F.lit(None).cast("long"))
+    return keyed.select("path", F.coalesce("n", F.lit(0)).alias("matching_incidents")).orderBy(
+        F.col("matching_incidents").desc(), "path"
     )
 
 
-def _counter(shared):
-    """Counts, per task, the rows in any of whose cells each key stands."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = shared.value
-        automaton = ahocorasick.Automaton()
-        for number, key in enumerate(keys):
-            automaton.add_word(key, number)
-        automaton.make_automaton()
-        totals = [0] * len(keys)
-        for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                for number in {hit for cell in row if cell for _, hit in automaton.iter(cell)}:
-                    totals[number] += 1
-        found = [k for k, n in enumerate(totals) if n]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([keys[k] for k in found], pa.string()), pa.array([totals[k] for k in found], pa.int64())], ["key", "n"]
-        )
-
-    return count
+def _anchors(keys: DataFrame, block_chars: int) -> DataFrame:
+    """``key`` and the hash of its anchor, ``gram``."""
+    short = keys.where(F.length("key") < GRAM).select("key", F.xxhash64(F.length("key"), "key").alias("gram"))
+    grams = _grams(keys.where(F.length("key") >= GRAM).select("key", F.col("key").alias("text")), "key", block_chars, []).distinct()
+    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = grams.join(shared, "gram").groupBy("key").agg(F.min(F.struct("n", "gram")).alias("least"))
+    return short.unionByName(rarest.select("key", "least.gram"))
+
+
+def _grams(texts: DataFrame, name: str, block_chars: int, lengths: Sequence[int]) -> DataFrame:
+    """``name`` and ``gram``: hashes of the grams of ``text`` of GRAM characters and of the shorter ``lengths``.
+
+    A text is cut into blocks that reach far enough into the next to lose no gram, so memory is bounded.
+    """
+    cut = f"(?s)(?=(.{{1,{block_chars + GRAM - 1}}})).{{1,{block_chars}}}"
+    blocks = texts.select(name, F.explode(F.regexp_extract_all("text", F.lit(cut), F.lit(1))).alias("block"))
+    ahead = F.regexp_extract_all("block", F.lit(f"(?s)(?=(.{{1,{GRAM}}}))"), F.lit(1))
+    found = blocks.select(name, F.explode(ahead).alias("ahead"))
+    hashes = [F.when(F.length("ahead") >= n, F.xxhash64(F.lit(n), F.left("ahead", F.lit(n)))) for n in (GRAM, *lengths)]
+    grams = found.select(name, F.explode(F.array(*hashes)).alias("gram") if lengths else hashes[0].alias("gram"))
+    return grams.where(F.col("gram").isNotNull())

@@ -207,7 +207,8 @@ def drill_through_all(df: DataFrame, paths: DataFrame, block_chars: int = BLOCK_
         short = keys.where(F.length("key") < GRAM).select(F.length("key").alias("n")).distinct()
         lengths = sorted(r.n for r in short.collect())  # fewer than GRAM numbers
         texts = rows.select("id", F.explode(F.array(*names)).alias("text"))
-        candidates = _grams(texts, "id", block_chars, lengths).join(_anchors(keys, block_chars), "gram").select("id", "key").distinct()
+        anchors = written(_anchors(keys, block_chars), "drill-anchors")  # its size is known before the join is planned
+        candidates = _grams(texts, "id", block_chars, lengths).join(anchors, "gram").select("id", "key").distinct()
         hit = F.lit(False)
         for c in names:
             hit = hit | F.coalesce(F.col(c).contains(F.col("key")), F.lit(False))

@@ -7,7 +7,9 @@ holding enough shingles of some item: fewer cannot reach the similarity. Their
 up in multi-index blocks: of eight bytes at least one differs in at most
 ``RADIUS // 8`` bits when all differ in at most ``RADIUS``, so nothing within the
 radius is missed. Candidates are verified by the weighted Jaccard similarity of the
-shingle counts.
+shingle counts. A repeated shingle turns many bits at once, so a fingerprint says little
+where window or item repeats one: such windows are compared with every item of that
+length that shares a shingle with them, through the items' shingle lists.
 
 Defined cases: NULL or empty items match nothing; NULL or empty documents hold
 nothing. An item shorter than a shingle matches only a document of exactly its words;
@@ -42,6 +44,12 @@ class ItemBlock:
     by_size: dict[int, np.ndarray]
     near: dict[int, np.ndarray]
     prints: np.ndarray
+    #: Of each size the items that repeat a shingle.
+    repeating: dict[int, np.ndarray]
+    #: Entries (shingle's place in ``every``, size's rank in ``by_size``) as one ascending number, with item and count.
+    keys: np.ndarray
+    holders: np.ndarray
+    counts: np.ndarray
 
 
 def signs(hashes: np.ndarray) -> np.ndarray:
@@ -64,7 +72,20 @@ def item_block(rows: list[tuple], size: int) -> ItemBlock:
     close = np.bitwise_count(np.arange(256)[:, None] ^ np.arange(256)[None, :]) <= RADIUS // 8
     near = {m: close[:, prints[at].view(np.uint8).reshape(-1, 8).T].transpose(1, 0, 2) for m, at in by_size.items()}
     every = np.unique(np.concatenate(shingles)) if shingles else np.zeros(0, np.uint64)
-    return ItemBlock([rows[i][0] for i in kept], shingles, [len(found[i]) for i in kept], every, by_size, near, prints)
+    parts = [np.unique(x, return_counts=True) for x in shingles]
+    repeats = np.array([c.max() > 1 for _, c in parts], bool)
+    repeating = {m: at[repeats[at]] for m, at in by_size.items() if repeats[at].any()}
+    lengths = [len(v) for v, _ in parts]
+    holders = np.repeat(np.arange(len(parts)), lengths)
+    rank = np.repeat(np.searchsorted(np.array(list(by_size), np.int64), sizes), lengths)
+    values = np.concatenate([v for v, _ in parts]) if parts else every
+    counts = np.concatenate([c for _, c in parts]) if parts else np.zeros(0, np.int64)
+    keys = np.searchsorted(every, values) * len(by_size) + rank
+    order = np.argsort(keys, kind="stable")
+    return ItemBlock(
+        [rows[i][0] for i in kept], shingles, [len(found[i]) for i in kept], every, by_size, near, prints,
+        repeating, keys[order], holders[order], counts[order],
+    )
 
 
 def weighted_jaccard(x: np.ndarray, y: np.ndarray) -> float:
@@ -74,21 +95,56 @@ def weighted_jaccard(x: np.ndarray, y: np.ndarray) -> float:
     return float(np.minimum(a, b).sum() / np.maximum(a, b).sum())
 
 
+def repeats_before(found: np.ndarray) -> np.ndarray:
+    """For each shingle the place of the same one before it, -1 if there is none."""
+    order = np.argsort(found, kind="stable")
+    same = found[order[1:]] == found[order[:-1]]
+    before = np.full(len(found), -1)
+    before[order[1:][same]] = order[:-1][same]
+    return before
+
+
+def windows_repeating(before: np.ndarray, width: int) -> np.ndarray:
+    """For each window of ``width`` shingles whether one stands in it more than once."""
+    at = np.flatnonzero((before >= 0) & (np.arange(len(before)) - before < width))
+    steps = np.zeros(len(before) + 1, np.int64)
+    np.add.at(steps, np.maximum(at - width + 1, 0), 1)
+    np.add.at(steps, before[at] + 1, -1)
+    return np.cumsum(steps)[: len(before) - width + 1] > 0
+
+
+def compared(places: np.ndarray, width: int, m: int, rank: int, block: ItemBlock) -> tuple[np.ndarray, np.ndarray]:
+    """Items of ``m`` shingles that share one with a window, and their exact similarities; ``places`` are in ``every``."""
+    values, times = np.unique(places, return_counts=True)
+    wanted = values * len(block.by_size) + rank
+    first, last = np.searchsorted(block.keys, wanted), np.searchsorted(block.keys, wanted, side="right")
+    n = last - first
+    at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+    items, inverse = np.unique(block.holders[at], return_inverse=True)
+    shared = np.bincount(inverse, np.minimum(np.repeat(times, n), block.counts[at]), len(items))
+    return items, shared / (width + m - shared)
+
+
 def matches(found: np.ndarray, block: ItemBlock, similarity: float) -> dict[int, tuple[float, int, int, int]]:
     """Per item of the block that the document's shingles hold: similarity, start, shingles and bits apart."""
     best: dict[int, tuple[float, int, int, int]] = {}
     if not len(found) or not len(block.every):
         return best
-    hit = block.every[np.minimum(np.searchsorted(block.every, found), len(block.every) - 1)] == found
+    places = np.minimum(np.searchsorted(block.every, found), len(block.every) - 1)
+    hit = block.every[places] == found
     if not hit.any():
         return best
     hits = np.concatenate([[0], np.cumsum(hit)])
-    for m, items in block.by_size.items():
+    before = repeats_before(found)
+    for rank, (m, items) in enumerate(block.by_size.items()):
         width = min(m, len(found))
         if width < similarity * m:
             continue
         inside = hits[width:] - hits[:-width]
         starts = np.flatnonzero(inside * (1 + similarity) >= similarity * (width + m) - 1e-9)
+        if not len(starts):
+            continue
+        again, repeating = windows_repeating(before, width), block.repeating.get(m)
         for lo in range(0, len(starts), 4096):
             part = starts[lo : lo + 4096]
             first, last = part[0], part[-1] + width
@@ -101,6 +157,12 @@ def matches(found: np.ndarray, block: ItemBlock, similarity: float) -> dict[int,
             parts = prints.view(np.uint8).reshape(-1, 8)
             near = block.near[m]
             for s, own, value in zip(part, parts, prints, strict=True):
+                if again[s] or repeating is not None:
+                    inside_window = places[s : s + width][hit[s : s + width]]
+                    for i, score in zip(*compared(inside_window, width, m, rank, block), strict=True):
+                        if score >= similarity - 1e-12 and (i not in best or score > best[i][0]):
+                            best[int(i)] = (float(score), int(s), width, int(np.bitwise_count(block.prints[i] ^ value)))
+                    continue
                 maybe = items[near[np.arange(8), own].any(axis=0)]
                 apart = np.bitwise_count(block.prints[maybe] ^ value)
                 for i, bits in zip(maybe[apart <= RADIUS], apart[apart <= RADIUS], strict=True):

@@ -128,6 +128,30 @@ def test_decontaminate_cases(spark, monkeypatch):
     assert leaks(spark, [], items) == leaks(spark, docs, []) == []
 
 
+def test_decontaminate_finds_items_that_differ_in_one_repeated_shingle(spark):
+    """Runs of one word in place of runs of another: the fingerprints lie far apart, the similarity is 0.8 or more."""
+    rng = random.Random(12)
+    docs, items = [], []
+    for n, (plain, run) in enumerate([(50, 5), (86, 10), (182, 22)] * 4):
+        words = sentence(rng, plain).split()
+        items.append((n, " ".join(words + [f"fill{n}"] * run)))
+        docs.append((2 * n, " ".join(words + [f"blank{n}"] * run)))
+        docs.append((2 * n + 1, f"{sentence(rng, 30)} {items[-1][1]} {sentence(rng, 30)}"))
+    got = {(d, i) for _, d, i, _, _ in leaks(spark, docs, items)}
+    want = brute.leaks(docs, items).keys()
+    assert got == want == {(2 * n + k, n) for n in range(12) for k in (0, 1)}
+
+
+def test_windows_that_repeat_a_shingle():
+    rng = np.random.default_rng(4)
+    for size, kinds in ((1, 3), (40, 8), (60, 200)):
+        found = rng.integers(0, kinds, size).astype(np.uint64)
+        before = decontaminate.repeats_before(found)
+        for width in {1, min(7, size), size}:
+            want = [len(np.unique(found[s : s + width])) < width for s in range(size - width + 1)]
+            assert decontaminate.windows_repeating(before, width).tolist() == want
+
+
 def test_multi_index_finds_all_within_the_radius():
     rng = random.Random(9)
     block = decontaminate.item_block([(k, sentence(rng, 20)) for k in range(40)], 5)

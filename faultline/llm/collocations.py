@@ -14,8 +14,9 @@ of all that can stay exact. A mark set by chance only makes a window longer.
 Defined cases: NULL text is empty, NULL language is ``und`` together with those named so.
 A text without words adds nothing; a language without phrases has no rows. Repeated rows
 count as rows. Texts of any length are read in pieces of ``PIECE`` bytes, cut between words,
-each window counted once. Equal scores go by count, then by the phrase's bytes. Two of n
-windows of one piece share a hash with a chance of about n^2 / 2^65. Columns other than text
+each window counted once; equal windows of a batch are summed before they are passed on, as are
+equal words and pairs of a task, up to ``HELD_KEYS``. Equal scores go by count, then by the phrase's bytes. Two of n
+windows of one batch share a hash with a chance of about n^2 / 2^65. Columns other than text
 and language are not read, so their names cannot clash.
 """
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import arrow_stage, mix, stored
+from faultline.llm.common import arrow_stage, mix, stored, summed
 from faultline.llm.line_dedup import UPPER
 from faultline.llm.shingles import BASE, FACTORS, LETTERS, _powers
 
@@ -48,6 +49,8 @@ PLAIN = bytes.maketrans(
 )
 NEXT_WORDS = re.compile(rb"(?: *[^ \n]++){0,%d}" % (ORDER - 1))
 SALTS = 64
+#: Distinct keys of pieces that a task gathers before it passes on their sums.
+HELD_KEYS = 3_000_000
 
 
 def chunks(text: bytes) -> Iterator[tuple[bytes, int]]:
@@ -133,6 +136,15 @@ def _count_keys(shared):
         marks = shared.value
         order = len(marks) + 1
 
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush():
+            if held:
+                found, n = summed(*zip(*held, strict=True))
+                held.clear()
+                step.size = 0
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["key", "n"])
+
         def step(batch: pa.RecordBatch):
             for _, salt, chunk, limit in _by_language(batch):
                 hashes, _, _, near, count = scan(chunk, limit)
@@ -140,8 +152,13 @@ def _count_keys(shared):
                 on = known_runs(words, near, marks, order)[-1][:count]
                 found, n = np.unique(run_keys(words, order)[:count][on], return_counts=True)
                 if len(found):
-                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+                    held.append((found, n.astype(np.int64)))
+                    step.size += len(found)
+            # Longer runs of frequent ones are few, and repeat less.
+            if step.size >= HELD_KEYS or order > 2:
+                yield from flush()
 
+        step.size, step.end = 0, flush
         return step
 
     return make
@@ -168,13 +185,44 @@ def marked(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[slots >> np.uint64(6)] >> (slots & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+class HeldWindows:
+    """Distinct windows of one language with their numbers; their words are made once."""
+
+    def __init__(self):
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.n = np.zeros(0, np.int64)
+        self.columns: list[list[pa.Array]] = []
+
+    def add(self, keys: np.ndarray, n: np.ndarray, words_of) -> None:
+        """Distinct ascending ``keys`` met ``n`` times; ``words_of(at)`` gives the lead columns of those at ``at``."""
+        slot = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = slot < len(self.keys)
+        known[inside] = self.keys[slot[inside]] == keys[inside]
+        self.n[self.place[slot[known]]] += n[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            self.columns.append(words_of(new))
+            self.place = np.insert(self.place, slot[new], np.arange(len(self.n), len(self.n) + len(new)))
+            self.keys = np.insert(self.keys, slot[new], keys[new])
+            self.n = np.r_[self.n, n[new]]
+
+    def batches(self, lang: str) -> Iterator[pa.RecordBatch]:
+        at = 0
+        for columns in self.columns:
+            n = self.n[at : at + len(columns[0])]
+            at += len(n)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *columns, pa.array(n)], ["lang", *LEADS, "n"])
+
+
 def _windows(shared):
-    """Distinct windows of a chunk with their number; one without words stands for all places whose word is rare."""
+    """Distinct windows of a batch with their number; one without words stands for all places whose word is rare."""
 
     def make():
         marks = shared.value
 
         def step(batch: pa.RecordBatch):
+            held: dict[str, HeldWindows] = {}
             for lang, salt, chunk, limit in _by_language(batch):
                 hashes, starts, ends, near, count = scan(chunk, limit)
                 if not count:
@@ -185,15 +233,18 @@ def _windows(shared):
                 keys = length.astype(np.uint64)
                 for k in range(ORDER):
                     keys += np.where(length > k, padded[k : k + count] * FACTORS[k], np.uint64(0))
-                _, first, n = np.unique(keys, return_index=True, return_counts=True)
+                found, first, n = np.unique(keys, return_index=True, return_counts=True)
                 last = first + np.maximum(length[first], 1) - 1
-                spans = zip(starts[first].tolist(), ends[last].tolist(), length[first].tolist(), strict=True)
-                pads = [b""] * ORDER
-                found = [(chunk[s:e].split() + pads)[:ORDER] if size else pads for s, e, size in spans]
-                columns = [pa.array(c, pa.binary()).cast(pa.string()) for c in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n), pa.string()), *columns, pa.array(n.astype(np.int64))], ["lang", *LEADS, "n"]
-                )
+
+                def words_of(at, chunk=chunk, begin=starts[first], end=ends[last], size=length[first]):
+                    spans = zip(begin[at].tolist(), end[at].tolist(), size[at].tolist(), strict=True)
+                    pads = [b""] * ORDER
+                    rows = [(chunk[s:e].split() + pads)[:ORDER] if size else pads for s, e, size in spans]
+                    return [pa.array(c, pa.binary()).cast(pa.string()) for c in zip(*rows, strict=True)]
+
+                held.setdefault(lang, HeldWindows()).add(found, n.astype(np.int64), words_of)
+            for lang, windows in held.items():
+                yield from windows.batches(lang)
 
         return step
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -86,3 +86,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
     return x
+
+
+def summed(keys: Sequence[np.ndarray], counts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, of many sorted lists, with their summed counts."""
+    every, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]][: len(every)])
+    return every[first], np.add.reduceat(n[order], first) if len(first) else n

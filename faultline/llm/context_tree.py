@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import arrow_stage, as_bytes, ship_package, stored
+from faultline.llm.common import arrow_stage, as_bytes, ship_package, stored, summed
 from faultline.llm.krichevsky import kt_one, log_kt
 from faultline.llm.shingles import LOWER, hashed_words
 from faultline.llm.word_tree import stretches, upper_counts, word_scores  # noqa: F401  (tests of the word tree name them here)
@@ -143,15 +143,6 @@ def word_keys(hashes: np.ndarray) -> np.ndarray:
     return (hashes | WORD).view(np.int64)
 
 
-def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, ascending, of many sorted lists, with their summed counts."""
-    every, n = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(every, kind="stable")
-    every = every[order]
-    first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]][: len(every)])
-    return every[first], np.add.reduceat(n[order], first) if len(first) else n
-
-
 def run_table(rows: DataFrame) -> DataFrame:
     """``key`` and ``n``, the count in the training rows, of all runs (keys from 0) and words (keys below 0) of all rows."""
 

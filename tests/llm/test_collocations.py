@@ -3,8 +3,10 @@
 import collections
 import random
 import re
+import types
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +119,27 @@ def test_empty_table(spark):
 def test_query_equals_sql(spark, sf_dir):
     con = connect(sf_dir)
     assert difference(queries.op11_collocations(spark, sf_dir), con, oracles.oracle_sql()["op11_collocations"]) is None
+
+
+def test_a_batch_passes_on_equal_windows_once(monkeypatch):
+    monkeypatch.setattr(collocations, "PIECE", 500)
+    rng = random.Random(12)
+    words = ["The", "of", "é", "no-one", "a", "b", "中"]
+    batch = [(rng.choice(["en", "de", "x"]), sentences(rng, words, 60)) for _ in range(80)]
+    want = collections.Counter()
+    for lang, text in batch:
+        for piece in re.split(r"[.,;:!?\n-\r]", text.translate(LOWER)):
+            found = piece.split()
+            want.update((lang, *(found[i : i + 5] + [""] * 5)[:5]) for i in range(len(found)))
+    table = pa.table(dict(zip(("lang", "text"), map(list, zip(*batch, strict=True)), strict=True)))
+    step = collocations._windows(types.SimpleNamespace(value=[]))()
+    rows = [tuple(r.values()) for b in step(table.to_batches()[0]) for r in b.to_pylist()]
+    assert len(rows) == len(want)
+    assert {tuple(window): n for *window, n in rows} == want
+
+
+def test_a_task_passes_on_equal_words_once():
+    table = pa.table({"lang": ["en", "en"], "text": ["a b c a", "b b"]})
+    step = collocations._count_keys(types.SimpleNamespace(value=[]))()
+    made = [b for _ in range(3) for b in step(table.to_batches()[0])] + list(step.end())
+    assert sorted(n for b in made for n in b.column("n").to_pylist()) == [3, 6, 9]

@@ -47,3 +47,12 @@ def test_scores_from_the_definition(spark, monkeypatch, block, piece):
     assert bits[7] == pytest.approx(-tree.log10(plain(rows[6][1])) * math.log2(10) / (len(rows[6][1]) + 1))
     # The order of words counts, so contexts go on across blanks.
     assert bits[8] > bits[7]
+
+
+def test_runs_do_not_depend_on_pieces(monkeypatch):
+    texts = [b"", b"The cat", b"", b"a" * 50, b"x\x00y \n", b"z"]
+    whole = [(k, o) for keys, owner in context_tree.run_pieces(texts) for k, o in zip(keys.tolist(), owner.tolist(), strict=True)]
+    assert [o for _, o in whole] == [i for i, t in enumerate(texts) for _ in range(len(t) + 1)]
+    monkeypatch.setattr(context_tree, "PIECE", 7)
+    pieces = [(k, o) for keys, owner in context_tree.run_pieces(texts) for k, o in zip(keys.tolist(), owner.tolist(), strict=True)]
+    assert pieces == whole

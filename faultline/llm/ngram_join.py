@@ -7,17 +7,20 @@
    in any common order. The order puts shingles found in many documents last, so the
    rest of the order, by hash, meets mostly rare ones. (The list of common shingles
    steers the work only; the result does not depend on it.)
+   In the smaller of the two it is even among the first ``n - ceil(8 n / 9) + 1``, and
+   their sizes are at most 4 to 5, so shingles shared only by chance mostly drop out.
 3. Nodes sharing such a shingle, of about the same size, form a tile: key is shingle
    and size band, and a node near a band's end also visits the next. Shingles that the
    very same nodes have make one tile, so two long near copies meet once or a few times
    and not at every shingle. Large tiles are cut into pairs of blocks, by rows and by
    shingles. Inside a tile hashed bitmaps of at least four bits a shingle bound each
    overlap from above: a bit of one side that the other lacks is a shingle it lacks.
-4. Pairs that pass are verified by intersecting the sorted arrays. A node offers the
-   ``OFFERS`` passing partners whose bitmaps are closest; links found make components.
-   Where a node had more, its tiles are gone through once more: the bitmaps tell which
-   nodes have passing partners in other components, each pair in the tile of its first
-   common shingle only. The sets of these nodes then come to the tile, and pairs are
+4. Pairs that pass are verified by intersecting the sorted arrays. A tile offers all pairs
+   of nodes with at most ``OFFERS`` passing partners, of the rest a spanning forest of those
+   whose bitmaps are closest; links found make components. Tiles that left pairs out are
+   gone through once more: the bitmaps tell which nodes have passing partners in other
+   components, each pair in the tile of its first common shingle only. The sets of these
+   nodes then come to the tile, and pairs are
    verified on the spot unless their two sides are joined already. A tile gives at most
    a spanning set of links, so no link that matters is missed, while a large group of
    copies or of almost-copies never becomes its pairs.
@@ -65,6 +68,11 @@ def prefix_length(n: int) -> int:
     return n - -(-4 * n // 5) + 1
 
 
+def short_prefix(n):
+    """Shingles of the prefix among which the first one shared with a set that is as large or larger is found."""
+    return n - F.ceil(8 * n / 9) + 1
+
+
 def bitmap_bits(n: int) -> int:
     """Bits of a set's bitmap: the power of two from four times its size."""
     return max(64, 1 << (4 * n - 1).bit_length())
@@ -160,12 +168,23 @@ def band(n: Column) -> Column:
 
 
 def shared_tokens(signed: DataFrame) -> DataFrame:
-    """``token``, ``node`` and ``n`` of the prefix shingles that more than one node has."""
-    offers = signed.where("prefix is not null").select(F.explode("prefix").alias("token"), "node", "n")
-    order = Window.partitionBy("token").orderBy("node")
-    near = [f("node").over(order) for f in (F.lag, F.lead)]
-    repeated = offers.withColumns({"before": near[0], "after": near[1]}).where("before <> node or after <> node")
-    return repeated.select("token", "node", "n").distinct()
+    """``token``, ``node`` and ``n`` of the prefix shingles that a node has in common with one it may be linked with.
+
+    Linked sets have sizes of at most 4 to 5, and their first common shingle is in the short
+    prefix of the smaller. In order of size the nearest such neighbour tells whether there is any.
+    """
+    offers = signed.where("prefix is not null").select(F.posexplode("prefix").alias("at", "token"), "node", "n")
+    # Size and mark travel as one number, and the window's inputs are made after the shuffle.
+    size = F.col("n") * 2 + (F.col("at") < short_prefix(F.col("n"))).cast("long")
+    offers = offers.select("token", "node", size.alias("size")).repartition("token")
+    offers = offers.select("token", "node", F.shiftright("size", 1).alias("n"), (F.col("size") % 2 == 1).alias("short"))
+    order = Window.partitionBy("token").orderBy("n", "node")
+    row = F.struct("n", "node")
+    smaller = F.last(F.when(F.col("short"), row), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    met = offers.withColumns({"smaller": smaller, "larger": F.lead(row).over(order)})
+    below = "smaller.node <> node and 4 * n <= 5 * smaller.n"
+    above = "short and larger.node <> node and 4 * larger.n <= 5 * n"
+    return met.where(f"({below}) or ({above})").select("token", "node", "n").distinct()
 
 
 def unlike_tokens(repeated: DataFrame) -> DataFrame:
@@ -267,20 +286,36 @@ def size_pairs(key: np.ndarray, cols: dict[str, np.ndarray], met: dict[int, np.n
         yield np.concatenate(left), np.concatenate(right)
 
 
-def closest(nodes: np.ndarray, share: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries are among the ``most`` of largest share of their node, and the nodes that have more."""
-    order = np.lexsort((-share, nodes))
-    ranked = nodes[order]
-    rank = np.arange(len(ranked)) - np.searchsorted(ranked, ranked)
-    chosen = np.zeros(len(nodes), bool)
-    chosen[order[rank < most]] = True
-    return chosen, np.unique(ranked[rank >= most])
+def spanning(a: np.ndarray, b: np.ndarray, share: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Pairs, by number, of largest share first, that join what ``root`` keeps apart; ``root`` then has them joined."""
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    chosen, order = [], np.argsort(-share, kind="stable")
+    for start in range(0, len(order), 4096):
+        while (root[root] != root).any():
+            root[:] = root[root]
+        some = order[start : start + 4096]
+        for i in some[root[a[some]] != root[b[some]]].tolist():
+            x, y = find(a[i]), find(b[i])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                chosen.append(i)
+    return np.array(chosen, np.int64)
 
 
 def tile_offers(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes], most: int):
-    """Passing node pairs of whole tiles, and the nodes that had more than ``most`` partners."""
+    """Passing node pairs of whole tiles, and the tokens of the tiles where some were left out.
+
+    Pairs of a node with at most ``most`` partners so far are all given, of the others a spanning
+    forest, so a group of any size gives no more than ``most`` pairs a node, a large one about one.
+    """
     nodes, local = np.unique(cols["node"], return_inverse=True)
     known = np.zeros(0, np.int64)
+    partners, root = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
     for left, right in size_pairs(key, cols):
         a, b = np.minimum(local[left], local[right]), np.maximum(local[left], local[right])
         code, first = np.unique(a * len(nodes) + b, return_index=True)
@@ -293,12 +328,12 @@ def tile_offers(cols: dict[str, np.ndarray], key: np.ndarray, bits: list[bytes],
         bound = bounds(cols["n"], bits, left, right)
         ok = bound >= least
         a, b, share = a[fresh][ok], b[fresh][ok], bound[ok] / least[ok]
-        more = np.zeros(0, np.int64)
-        if len(a):
-            chosen, more = closest(np.concatenate([a, b]), np.concatenate([share, share]), most)
-            chosen = chosen[: len(a)] | chosen[len(a) :]
-            a, b = a[chosen], b[chosen]
-        yield nodes[a], nodes[b], nodes[more]
+        partners += np.bincount(a, minlength=len(nodes)) + np.bincount(b, minlength=len(nodes))
+        chosen = (partners[a] <= most) | (partners[b] <= most)
+        few, many = np.flatnonzero(chosen), np.flatnonzero(~chosen)
+        spanning(a[few], b[few], share[few], root)
+        chosen[many[spanning(a[many], b[many], share[many], root)]] = True
+        yield nodes[a[chosen]], nodes[b[chosen]], np.unique(cols["token"][left[ok][~chosen]])
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -384,10 +419,7 @@ def whole_tiles(rows: DataFrame, solve, schema: str = "a long, b long") -> DataF
 
 
 def candidates(tile_rows: DataFrame, most: int) -> DataFrame:
-    """Distinct pairs ``a``, ``b`` that pass in some tile, of each node only the ``most`` closest there.
-
-    A row with NULL ``a`` says that node ``b`` had more.
-    """
+    """Distinct pairs ``a``, ``b`` that pass in some tile; a row with NULL ``a`` says that the tiles of token ``b`` have more."""
 
     def solve(cols, key, lists):
         for a, b, more in tile_offers(cols, key, lists["bits"], most):
@@ -495,9 +527,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     links = stored(verified(pairs, sets_of(rows, signed, nodes, size)), "links")
     found = stored(components(links), "components")
-    busy = offers.where("a is null").select(F.col("b").alias("node"))
-    if busy.limit(1).count():
-        again = stored(shared.join(shared.join(busy, "node", "left_semi").select("token").distinct(), "token", "left_semi"), "tokens")
+    unfinished = offers.where("a is null").select(F.col("b").alias("token"))
+    if unfinished.limit(1).count():
+        again = stored(shared.join(unfinished, "token", "left_semi"), "tokens")
         cells = stored(open_cells(again, signed, found), "cells")
         more = stored(missing_links(cells, sets_of(rows, signed, cells.select("node").distinct(), size)), "links")
         found = stored(components(links.unionByName(more)), "components")

@@ -73,6 +73,37 @@ def test_ngram_join_blocks_and_large_tiles(spark, monkeypatch):
     assert joined(spark, rows) == wanted(rows)
 
 
+def test_a_large_group_of_near_copies_offers_about_one_pair_a_node():
+    """Every tile holds all nodes, all of them alike: offers must follow the nodes, not nodes times partners."""
+    nodes, tokens = 200, 10
+    found = np.sort(np.random.default_rng(2).integers(0, 2**63, 50, dtype=np.int64).astype(np.uint64))
+    token = np.repeat(np.arange(tokens), nodes)
+    node = np.tile(np.arange(nodes), tokens)
+    same = np.zeros(nodes * tokens, np.int64)
+    cols = {"token": token, "node": node, "label": node, "n": same + 50, "k": same, "l": same, "block": same}
+    pairs, more = set(), set()
+    for a, b, left_out in ngram_join.tile_offers(cols, token, [ngram_join.bitmap(found)] * len(node), 4):
+        pairs |= set(zip(a.tolist(), b.tolist(), strict=True))
+        more |= set(left_out.tolist())
+    assert nodes - 1 <= len(pairs) < 2 * nodes
+    assert more  # the tiles that have the other pairs
+
+
+def test_shingles_shared_by_sets_of_other_sizes_make_no_tiles(spark):
+    rows = [(1, 100, [7, 8, 9]), (2, 126, [7]), (3, 125, [8]), (4, 100, [9]), (4, 100, [9]), (5, 100, [10]), (5, 100, [10])]
+    signed = spark.createDataFrame(rows, "node long, n long, prefix array<long>")
+    got = sorted(tuple(r) for r in ngram_join.shared_tokens(signed).collect())
+    assert got == [(8, 1, 100), (8, 3, 125), (9, 1, 100), (9, 4, 100)]
+
+
+def test_ngram_join_of_all_sizes_around_a_text(spark, monkeypatch):
+    """Prefixes of one text: each is linked with those up to a quarter longer."""
+    monkeypatch.setattr(ngram_join, "OFFERS", 1)
+    words = sentence(random.Random(11), 300).split()
+    rows = [(k, " ".join(words[:n])) for k, n in enumerate([5, 6, 7, 8, 9, 20, 24, 25, 28, 31, 60, 74, 80, 95, 150, 182, 190, 228, 300])]
+    assert joined(spark, rows) == wanted(rows)
+
+
 def test_ngram_join_of_nothing(spark):
     assert joined(spark, []) == []
 

@@ -2,11 +2,15 @@
 
 import collections
 import math
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from faultline.llm import context_tree
+from faultline.llm.shingles import hashed_words
 from llm import brute
 
 DEPTH = context_tree.DEPTH
@@ -56,3 +60,28 @@ def test_runs_do_not_depend_on_pieces(monkeypatch):
     monkeypatch.setattr(context_tree, "PIECE", 7)
     pieces = [(k, o) for keys, owner in context_tree.run_pieces(texts) for k, o in zip(keys.tolist(), owner.tolist(), strict=True)]
     assert pieces == whole
+
+
+def test_keys_of_a_group_are_merged_as_they_come(monkeypatch):
+    texts = ["The cat", None, "", "the cat sat\n" * 3, "naïve"]
+    group = pa.concat_tables([pa.table({"text": texts[:2]}), pa.table({"text": texts[2:]})])
+    raw = [(t or "").encode() for t in texts]
+    want = {int(k) for keys, _ in context_tree.run_pieces(raw) for k in keys}
+    want |= set(context_tree.word_keys(np.concatenate(list(hashed_words(raw)))).tolist())
+    for pending in (1_000_000, 3):
+        monkeypatch.setattr(context_tree, "PENDING", pending)
+        assert context_tree.asked_keys(group).tolist() == sorted(want)
+
+
+def test_memory_of_a_group_follows_its_distinct_keys_not_its_texts():
+    """Four times the text with the same runs: neither the texts nor the runs of pieces may pile up."""
+    rng = np.random.default_rng(3)
+    text = " ".join(f"{k:x}" for k in rng.integers(0, 1 << 40, 25_000).tolist())
+    peaks = []
+    for copies in (24, 96):
+        group = pa.table({"text": [text] * copies})
+        tracemalloc.start()
+        context_tree.asked_keys(group)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0]

@@ -2,31 +2,35 @@
 
 Only windows of the top order are counted: for every word the window of up to ``ORDER``
 words that starts there and ends with its piece, in ``ORDER`` lead columns padded with empty
-words. One ``ROLLUP`` over these columns sums the windows by successively shorter prefixes,
-so it yields the count of every phrase of one to ``ORDER`` words and, with no words left,
-the number of all words of the language.
+words. A task sums its windows by successively shorter prefixes, so they yield the count of
+every phrase of one to ``ORDER`` words and, with no words left, the number of all words of the
+language. These sums leave the task dealt by hash into ``PARTS`` compressed blocks, and the
+blocks of a part are summed together.
 
 Before that, words, then pairs of frequent words, then triples of frequent pairs are counted
-by 64-bit hashes, and the frequent ones marked in bitmaps of fixed size. A window ends where
+by hashes, and the frequent ones marked in bitmaps of fixed size. Sorted hashes leave a task in
+blocks by range, as gaps of ``KEY_BITS``-bit numbers. A window ends where
 its last word, pair or triple is rare: no phrase beyond can reach ``least``, while the counts
 of all that can stay exact. A mark set by chance only makes a window longer.
 
 Defined cases: NULL text is empty, NULL language is ``und`` together with those named so.
 A text without words adds nothing; a language without phrases has no rows. Repeated rows
 count as rows. Texts of any length are read in pieces of ``PIECE`` bytes, cut between words,
-each window counted once; equal windows of a batch are summed before they are passed on, as are
-equal words and pairs of a task, up to ``HELD_KEYS``. Equal scores go by count, then by the phrase's bytes. Two of n
-windows of one batch share a hash with a chance of about n^2 / 2^65. Columns other than text
+each window counted once; equal windows of a task are summed before they are passed on, up to
+``HELD_WINDOWS`` or ``HELD_BYTES``, as are equal words, pairs and triples, up to ``HELD_KEYS``. Equal scores go by count, then by the phrase's
+bytes. Two of n windows summed together share a hash with a chance of about n^2 / 2^65. Columns other than text
 and language are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +55,13 @@ NEXT_WORDS = re.compile(rb"(?: *[^ \n]++){0,%d}" % (ORDER - 1))
 SALTS = 64
 #: Distinct keys of pieces that a task gathers before it passes on their sums.
 HELD_KEYS = 3_000_000
+#: Distinct windows that a task gathers before it passes on the sums of their phrases.
+HELD_WINDOWS = 500_000
+HELD_BYTES = 128 << 20
+#: Leading bits of a run's key that are counted before marking; the first ``PART_BITS`` of them name the part.
+KEY_BITS = 32
+PART_BITS = 9
+PARTS = 1 << PART_BITS
 
 
 def chunks(text: bytes) -> Iterator[tuple[bytes, int]]:
@@ -154,8 +165,7 @@ def _count_keys(shared):
                 if len(found):
                     held.append((found, n.astype(np.int64)))
                     step.size += len(found)
-            # Longer runs of frequent ones are few, and repeat less.
-            if step.size >= HELD_KEYS or order > 2:
+            if step.size >= HELD_KEYS:
                 yield from flush()
 
         step.size, step.end = 0, flush
@@ -164,18 +174,89 @@ def _count_keys(shared):
     return make
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32, bytes of equal weight together, so that small ones compress well."""
+    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(block: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(block), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.uint64)
+
+
+def _bounds(parts: np.ndarray) -> list[tuple[int, int, int]]:
+    """Each part that ascending ``parts`` name, with where it begins and ends."""
+    edges = np.searchsorted(parts, np.arange(PARTS + 1, dtype=parts.dtype)).tolist()
+    return [(k, *edge) for k, edge in enumerate(zip(edges[:-1], edges[1:], strict=True)) if edge[0] < edge[1]]
+
+
+def _in_blocks(make_inner: Callable[[], Callable], as_blocks: Callable[[list[pa.RecordBatch]], pa.RecordBatch]):
+    """A stage whose batches leave as blocks; what one call yields is packed together."""
+
+    def make():
+        inner = make_inner()
+
+        def blocks(batches: Iterable[pa.RecordBatch]):
+            if held := list(batches):
+                yield as_blocks(held)
+
+        def step(batch: pa.RecordBatch):
+            yield from blocks(inner(batch))
+
+        step.end = lambda: blocks(inner.end())
+        return step
+
+    return make
+
+
+def _key_blocks(shared, least: int):
+    """Ascending keys and their numbers, ``least`` at most, by range of keys."""
+
+    def as_blocks(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        (batch,) = batches
+        keys = batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - KEY_BITS)
+        n = np.minimum(batch.column("n").to_numpy(), min(least, (1 << 32) - 1))
+        parts = keys >> np.uint64(KEY_BITS - PART_BITS)
+        keys &= np.uint64((1 << KEY_BITS - PART_BITS) - 1)
+        rows = [(k, packed(np.diff(keys[a:b], prepend=np.uint64(0))), packed(n[a:b])) for k, a, b in _bounds(parts)]
+        types = (pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["part", "gaps", "n"])
+
+    return _in_blocks(_count_keys(shared), as_blocks)
+
+
+def _often(least: int, bits: int):
+    """The marks of one part's keys that are found ``least`` times in all its blocks, in 64-bit words."""
+
+    def total(table: pa.Table) -> pa.Table:
+        held, size = [], 0
+        for gaps, numbers in zip(table["gaps"], table["n"], strict=True):
+            held.append((np.cumsum(unpacked(gaps.as_py())), unpacked(numbers.as_py()).astype(np.int64)))
+            size += len(held[-1][0])
+            if size >= HELD_KEYS:
+                held, size = [summed(*zip(*held, strict=True))], 0
+        keys, n = summed(*zip(*held, strict=True))
+        part = np.uint64(table["part"][0].as_py() << KEY_BITS - PART_BITS)
+        slots = (part | keys[n >= least]) >> np.uint64(KEY_BITS - bits)
+        at, first = np.unique(slots >> np.uint64(6), return_index=True)
+        ones = np.uint64(1) << (slots & np.uint64(63))
+        words = np.bitwise_or.reduceat(ones, first) if len(first) else ones
+        return pa.table({"at": at.astype(np.int64), "m": words.view(np.int64)})
+
+    return total
+
+
 def frequent_marks(rows: DataFrame, marks: list[np.ndarray], least: int, bits: int) -> np.ndarray:
-    """Bitmap of ``2 ** bits`` places: those of the runs of one word more than ``marks`` know, found ``least`` times.
+    """Bitmap of ``2 ** bits`` places, ``KEY_BITS`` at most: those of the runs of one word more than ``marks`` know, found ``least`` times.
 
-    Only runs whose shorter parts are marked are counted. What reaches the driver is the bitmap's size at most.
+    Only runs whose shorter parts are marked are counted. What reaches the driver is the bitmap's size at most, or a word for each
+    part if that is more.
     """
     shared = rows.sparkSession.sparkContext.broadcast(marks)
-    counted = arrow_stage(rows, _count_keys(shared), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    slot = F.shiftrightunsigned("key", 64 - bits)
-    often = counted.where(F.col("n") >= least).select(F.shiftright(slot, 6).alias("at"), slot.bitwiseAND(F.lit(63)).alias("bit"))
-    found = often.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("m")).toPandas()
+    blocks = arrow_stage(rows, _key_blocks(shared, least), "part int, gaps binary, n binary")
+    found = blocks.groupBy("part").applyInArrow(_often(least, bits), "at long, m long").toPandas()
     table = np.zeros(1 << (bits - 6), np.uint64)
-    table[found["at"].to_numpy(np.int64)] = found["m"].to_numpy(np.int64).astype(np.uint64)
+    np.bitwise_or.at(table, found["at"].to_numpy(np.int64), found["m"].to_numpy(np.int64).astype(np.uint64))
     return table
 
 
@@ -192,6 +273,7 @@ class HeldWindows:
         self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.n = np.zeros(0, np.int64)
         self.columns: list[list[pa.Array]] = []
+        self.size = 0
 
     def add(self, keys: np.ndarray, n: np.ndarray, words_of) -> None:
         """Distinct ascending ``keys`` met ``n`` times; ``words_of(at)`` gives the lead columns of those at ``at``."""
@@ -203,6 +285,7 @@ class HeldWindows:
         new = np.flatnonzero(~known)
         if len(new):
             self.columns.append(words_of(new))
+            self.size += sum(c.nbytes for c in self.columns[-1])
             self.place = np.insert(self.place, slot[new], np.arange(len(self.n), len(self.n) + len(new)))
             self.keys = np.insert(self.keys, slot[new], keys[new])
             self.n = np.r_[self.n, n[new]]
@@ -215,14 +298,22 @@ class HeldWindows:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *columns, pa.array(n)], ["lang", *LEADS, "n"])
 
 
-def _windows(shared):
-    """Distinct windows of a batch with their number; one without words stands for all places whose word is rare."""
+def _windows(shared, most: int = 0):
+    """Distinct windows with their number; one without words stands for all places whose word is rare.
+
+    Passed on when after a batch there are more than ``most`` or their words take ``HELD_BYTES``, and at the end.
+    """
 
     def make():
         marks = shared.value
+        held: dict[str, HeldWindows] = {}
+
+        def flush():
+            for lang, windows in held.items():
+                yield from windows.batches(lang)
+            held.clear()
 
         def step(batch: pa.RecordBatch):
-            held: dict[str, HeldWindows] = {}
             for lang, salt, chunk, limit in _by_language(batch):
                 hashes, starts, ends, near, count = scan(chunk, limit)
                 if not count:
@@ -243,14 +334,62 @@ def _windows(shared):
                     return [pa.array(c, pa.binary()).cast(pa.string()) for c in zip(*rows, strict=True)]
 
                 held.setdefault(lang, HeldWindows()).add(found, n.astype(np.int64), words_of)
-            for lang, windows in held.items():
-                yield from windows.batches(lang)
+            if sum(len(windows.n) for windows in held.values()) > most or sum(windows.size for windows in held.values()) >= HELD_BYTES:
+                yield from flush()
 
+        step.end = flush
         return step
 
     return make
 
 
+def phrase_sums(windows: pa.Table) -> pa.Table:
+    """``lang, phrase, n`` of all that windows begin with; the empty phrase counts all words."""
+    found = []
+    for k in range(ORDER, 0, -1):
+        on = windows.filter(pc.not_equal(windows[LEADS[k - 1]], ""))
+        found.append((on["lang"], pc.binary_join_element_wise(*[on[w] for w in LEADS[:k]], " "), on["n"]))
+        shorter = ["lang", *LEADS[: k - 1]]
+        sums = windows.group_by(shorter, use_threads=False).aggregate([("n", "sum")])
+        windows = sums.select([*shorter, "n_sum"]).rename_columns([*shorter, "n"])
+    found.append((windows["lang"], pa.array([""] * len(windows)), windows["n"]))
+    return pa.concat_tables([pa.table(dict(zip(("lang", "phrase", "n"), columns, strict=True))) for columns in found])
+
+
+def _phrase_blocks(shared):
+    """The sums of a task's phrases, dealt by hash."""
+
+    def block(table: pa.Table) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table)
+        return sink.getvalue().to_pybytes()
+
+    def as_blocks(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sums = phrase_sums(pa.Table.from_batches(batches))
+        names = zip(sums["lang"].to_pylist(), sums["phrase"].to_pylist(), strict=True)
+        parts = np.array([xxhash.xxh3_64_intdigest(f"{lang}\n{phrase}") % PARTS for lang, phrase in names], np.int64)
+        sums = sums.append_column("part", pa.array(parts)).sort_by([(c, "ascending") for c in ("part", "lang", "phrase")])
+        bounds = _bounds(sums["part"].to_numpy())
+        plain = sums.drop_columns("part").combine_chunks()
+        blocks = [block(plain.slice(a, b - a)) for _, a, b in bounds]
+        return pa.RecordBatch.from_arrays([pa.array([k for k, *_ in bounds], pa.int32()), pa.array(blocks, pa.binary())], ["part", "block"])
+
+    return _in_blocks(_windows(shared, HELD_WINDOWS), as_blocks)
+
+
+def _often_phrases(least: int):
+    """The phrases of one part that are found ``least`` times in all its blocks, and the numbers of words."""
+
+    def total(table: pa.Table) -> pa.Table:
+        blocks = pa.concat_tables(pa.ipc.open_stream(b).read_all() for b in table["block"].to_pylist())
+        sums = blocks.group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+        often = sums.filter(pc.or_(pc.greater_equal(sums["n_sum"], least), pc.equal(sums["phrase"], "")))
+        return often.select(["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "f"])
+
+    return total
+
+
 def phrase_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", least: int = 100, bits: int = 24) -> DataFrame:
     """``lang, size, words, phrase, f`` of all phrases of 1 to ``ORDER`` words found ``least`` times; size 0 counts all words."""
     rows = docs.select(
@@ -260,14 +399,11 @@ def phrase_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
     for _ in range(MARKED):
         marks.append(frequent_marks(rows, marks, least, bits))
     shared = docs.sparkSession.sparkContext.broadcast(marks)
-    schema = ", ".join(["lang string", *[f"{w} string" for w in LEADS], "n long"])
-    windows = arrow_stage(rows, _windows(shared), schema)
-    sums = windows.rollup("lang", *LEADS).agg(F.sum("n").alias("f"))
-    words = F.array_compact(F.array(*LEADS))
-    found = sums.where("lang is not null").select("lang", words.alias("words"), "f")
-    ended = F.exists("words", lambda w: w == "")
-    found = found.where(~ended & ((F.col("f") >= least) | (F.size("words") == 0)))
-    return found.select("lang", F.size("words").alias("size"), "words", F.array_join("words", " ").alias("phrase"), "f")
+    blocks = arrow_stage(rows, _phrase_blocks(shared), "part int, block binary")
+    found = blocks.groupBy("part").applyInArrow(_often_phrases(least), "lang string, phrase string, f long")
+    words = F.array_remove(F.split("phrase", " "), "")
+    return found.select("lang", words.alias("words"), "phrase", "f").select("lang", F.size("words").alias("size"), "words", "phrase", "f")
+
 
 
 def collocations(docs: DataFrame, *, most: int = 2000, least: int = 100, **options) -> DataFrame:

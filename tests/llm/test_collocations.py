@@ -143,3 +143,63 @@ def test_a_task_passes_on_equal_words_once():
     step = collocations._count_keys(types.SimpleNamespace(value=[]))()
     made = [b for _ in range(3) for b in step(table.to_batches()[0])] + list(step.end())
     assert sorted(n for b in made for n in b.column("n").to_pylist()) == [3, 6, 9]
+
+
+def test_windows_leave_a_task_as_phrase_sums_in_blocks():
+    rng = random.Random(5)
+    batch = [(rng.choice(["en", "de"]), sentences(rng, ["The", "of", "é", "no-one", "a", "b", "中"], 90)) for _ in range(60)]
+    want = collections.Counter()
+    for lang, text in batch * 3:
+        for piece in re.split(r"[.,;:!?\n-\r]", text.translate(LOWER)):
+            found = piece.split()
+            want[lang, ""] += len(found)
+            want.update((lang, " ".join(found[i : i + k])) for k in range(1, 6) for i in range(len(found) - k + 1))
+    rows = pa.table(dict(zip(("lang", "text"), map(list, zip(*batch, strict=True)), strict=True))).to_batches()[0]
+    step = collocations._phrase_blocks(types.SimpleNamespace(value=[]))()
+    made = [b for _ in range(3) for b in step(rows)] + list(step.end())
+    assert len(want) > 2 * collocations.PARTS >= 2 * sum(b.num_rows for b in made)
+    sums = [collocations._often_phrases(1)(pa.Table.from_batches([b.slice(i, 1)])) for b in made for i in range(b.num_rows)]
+    assert {(lang, phrase): f for t in sums for lang, phrase, f in zip(*t.to_pydict().values(), strict=True)} == want
+
+
+@pytest.mark.parametrize("held", [1, 10, 3_000_000])
+def test_key_blocks_mark_what_all_tasks_find_often(monkeypatch, held):
+    monkeypatch.setattr(collocations, "HELD_KEYS", held)
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(rng.choices(words, range(1, 3001), k=4000)) for _ in range(6)]
+    often = {w for w, n in collections.Counter(w for t in texts for w in t.split()).items() if n >= 8}
+    made = []
+    for text in texts:
+        step = collocations._key_blocks(types.SimpleNamespace(value=[]), 8)()
+        made += [*step(pa.table({"lang": ["en"], "text": [text]}).to_batches()[0]), *step.end()]
+    assert all(b.num_rows <= collocations.PARTS for b in made)
+    blocks = pa.Table.from_batches(made)
+    table = np.zeros(1 << 18, np.uint64)
+    for part in set(blocks["part"].to_pylist()):
+        marks = collocations._often(8, 24)(blocks.filter(collocations.pc.equal(blocks["part"], part)))
+        np.bitwise_or.at(table, marks["at"].to_numpy(), marks["m"].to_numpy().view(np.uint64))
+    (_, salt, chunk, limit), *_ = collocations._by_language(pa.table({"lang": ["en"], "text": [" ".join(words)]}).to_batches()[0])
+    keys = collocations.run_keys(collocations.mix(collocations.scan(chunk, limit)[0] ^ salt), 1)
+    known = dict(zip(words, collocations.marked(table, keys).tolist(), strict=True))
+    assert all(known[w] for w in often)
+    assert sum(known.values()) <= len(often) + 5 < len(words) - 100
+
+
+def test_numbers_survive_packing():
+    for numbers in ([], [0], [1, 255, 256, (1 << 32) - 1] * 70):
+        assert collocations.unpacked(collocations.packed(np.array(numbers, np.int64))).tolist() == numbers
+
+
+def test_windows_are_passed_on_when_many(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [("en", sentences(rng, ["a", "b", "c", "d", "e"], 300)) for _ in range(8)]
+    want = plain(rows, 4)
+    for name, value in (("HELD_WINDOWS", 3), ("HELD_BYTES", 100)):
+        monkeypatch.setattr(collocations, name, value)
+        step = collocations._phrase_blocks(types.SimpleNamespace(value=[]))()
+        batch = pa.table(dict(zip(("lang", "text"), map(list, zip(*rows, strict=True)), strict=True))).to_batches()[0]
+        made = list(step(batch))
+        assert len(made) == 1 and not list(step.end())
+        monkeypatch.undo()
+    assert got(spark, rows, least=4) == want
